@@ -70,8 +70,8 @@ s as (
   select doc_id, unnest(list_distinct(case when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
     when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as g from d),
 n as (select doc_id, count(*) as n_shingles from s group by doc_id),
-p as (select x.doc_id as a, y.doc_id as b, count(*) as both from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by all),
-e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * both >= 85 * (x.n_shingles + y.n_shingles - both)),
+p as (select x.doc_id as a, y.doc_id as b, count(*) as n_both from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by all),
+e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * n_both >= 85 * (x.n_shingles + y.n_shingles - n_both)),
 u as (select a, b from e union all select b, a from e),
 r(a, b) as (select a, b from u union select r.a, u.b from r join u on r.b = u.a)
 select d.doc_id, coalesce(n.n_shingles, 0) as n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) as component_id, d.doc_id = least(d.doc_id, coalesce(m.b, d.doc_id)) as kept
@@ -97,9 +97,9 @@ with w as (
   select 'd' as kind, doc_id as id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents
   union all select 'i', item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') from benchmark),
 v as (
-  select distinct item_id, n, array_to_string(w[at:at + n - 1], ' ') as g
+  select distinct item_id, n, array_to_string(list_slice(w, at, at + n - 1), ' ') as g
   from (select id as item_id, w, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as at from w where kind = 'i' and len(w) > 0)),
-t as (select doc_id, at, n, array_to_string(w[at:at + n - 1], ' ') as g
+t as (select doc_id, at, n, array_to_string(list_slice(w, at, at + n - 1), ' ') as g
   from (select id as doc_id, w, n, unnest(range(1, greatest(1, len(w) - n + 2))) as at from w, (select distinct n from v) where kind = 'd')),
 o as (select doc_id, at, v.n, item_id from t join v on t.g = v.g and t.n = v.n),
 h as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(at, at + n)) as p from o) group by doc_id),
