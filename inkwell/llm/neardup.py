@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U64, Words, mix, shingle_sets, slices
-from .store import materialize, spread_by_doc
+from .store import materialize, parallelism, spread_by_doc
 
 BANDS, ROWS = 30, 4
 #: Signature values compared at a time, and the posterior chance of a link below which a pair is dropped.
 BATCH, MISS = 24, 1e-6
-#: Documents of a band's bucket that are left for the last round at most; it pairs all that are still apart.
-LAST = 32
+#: Documents, and shingles, on a side of a block.
+BLOCK, SHINGLES = 256, 1 << 19
+#: Ids that are broadcast to pick out texts; more are joined by a shuffle.
+BROADCAST = 500_000
 _N = BANDS * ROWS
 _MULTIPLY = mix(np.arange(1, _N + 1, dtype=U64)) | U64(1)
 _ADD = mix(np.arange(1001, _N + 1001, dtype=U64))
@@ -80,34 +82,114 @@ def least_matches(threshold: float, miss: float = MISS) -> np.ndarray:
     return np.array(out)
 
 
+def likely(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which pairs of signature rows stay after every batch."""
+    alive, matches = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
+    for k, need in enumerate(least):
+        part = slice(k * BATCH, (k + 1) * BATCH)
+        matches[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
+        alive = alive[matches[alive] >= need]
+    return alive
+
+
+def _signs(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, _N)
+
+
 def _prune(batches: Iterator[pa.RecordBatch], least: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.select(["a", "b"]).take(pa.array(likely(_signs(batch.column("sig_a")), _signs(batch.column("sig_b")), least)))
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal long keys, which the rows are sorted by."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, _N) for c in ("sig_a", "sig_b"))
-        alive, matches = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
-        for k, need in enumerate(least):
-            part = slice(k * BATCH, (k + 1) * BATCH)
-            matches[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
-            alive = alive[matches[alive] >= need]
-        yield batch.select(["a", "b"]).take(pa.array(alive))
+        values = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys], axis=1)
+        cuts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist(), len(values)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            key = tuple(values[a].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Forest:
+    """Union-find over positions; what it keeps of many links is a forest."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+        self.kept: list[tuple[int, int]] = []
+
+    def root(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
+        return x
+
+    def add(self, x: int, y: int) -> None:
+        a, b = self.root(x), self.root(y)
+        if a != b:
+            self.parent[max(a, b)] = min(a, b)
+            self.kept.append((x, y))
+
+
+def _pairs(nodes: np.ndarray, forest: Forest) -> pa.RecordBatch:
+    kept = np.array(forest.kept, dtype=np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(nodes[kept[:, 0]]), pa.array(nodes[kept[:, 1]])], names=["a", "b"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch], least: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """In each part of a bucket a forest of the likely pairs of a fresh member (left) and any other of another label."""
+    for table in groups(batches, ["band", "chunk"]):
+        nodes, labels = (table.column(c).to_numpy() for c in ("node", "label"))
+        signs, forest = _signs(table.column("signature").combine_chunks()), Forest(len(nodes))
+        for x in np.flatnonzero(table.column("left").to_numpy()).tolist():
+            others = np.flatnonzero(labels != labels[x])
+            others = others[(signs[others, :BATCH] == signs[x, :BATCH]).sum(axis=1) >= least[0]]
+            for y in others[likely(np.broadcast_to(signs[x], (len(others), _N)), signs[others], least)].tolist():
+                forest.add(x, y)
+        if forest.kept:
+            yield _pairs(nodes, forest)
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch):
             sets = shingle_sets(Words(piece.column("text"), lower=True), n)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("label", "i", "j", "doc_id")), pa.array([s.tobytes() for s in sets], pa.binary())], names=["label", "i", "j", "node", "shingles"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        good = []
-        for a, b in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-            x, y = np.frombuffer(a, U64), np.frombuffer(b, U64)
-            both = len(x) + len(y) - len(np.union1d(x, y)) if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) else 0
-            good.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+    """In each group of full sets a forest of the exact links, found over an inverted list of shingles."""
+    for table in groups(batches, ["label", "i", "j"]):
+        nodes = table.column("node").to_numpy()
+        sets = [np.frombuffer(b, U64) for b in table.column("shingles").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        flat = np.concatenate(sets)
+        number = np.unique(flat, return_inverse=True)[1]
+        owner = np.repeat(np.arange(len(sets)), size)
+        order = np.argsort(number, kind="stable")
+        posting, first = owner[order], np.searchsorted(number[order], np.arange(number.max(initial=-1) + 2))
+        ends, forest = np.cumsum(size), Forest(len(sets))
+        for x in range(len(sets)):
+            own = number[ends[x] - size[x] : ends[x]]
+            at, n = first[own], first[own + 1] - first[own]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            both = np.bincount(posting[np.repeat(at, n) + step], minlength=len(sets))
+            for y in np.flatnonzero(100 * both >= percent * (size[x] + size - both)).tolist():
+                if y > x and both[y]:
+                    forest.add(x, y)
+        if forest.kept:
+            yield _pairs(nodes, forest)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -141,67 +223,54 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     alone. Rows with the same set form one class that takes part once. Rows that share a doc_id are placed each by
     its own text; a null doc_id with words takes no part in links and stands alone; further columns are ignored.
 
-    Within a band's bucket, pivots are compared with the members of other components, round by round; a pivot leaves
-    when it has been compared with all, a bucket when it lies in one component. Small rests are paired in full, except
-    for pairs already in one component.
+    Links come in three steps, none of which emits the pairs of a group. Each band's bucket compares its members with
+    one pivot by signatures. Buckets that then hold several components compare in blocks what is apart from the
+    pivot. Components of likely pairs are checked in blocks on full sets; each block returns a forest of its links.
     """
     table = spread_by_doc(docs)
+    parts = parallelism(table.sparkSession)
     signed = materialize(table.mapInArrow(partial(_sign, n=words), SIGNED), "signed")
     some = signed.where("n_shingles > 0 and doc_id is not null")
     keys = ["set_hi", "set_lo"]
-    classes = materialize(some.groupBy(*keys).agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("bands").alias("bands")), "classes")
+    classes = some.groupBy(*keys).agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("signature", "bands", "n_shingles")))
+    classes = materialize(classes, "classes")
     signs = classes.select("node", "signature")
     member = classes.select("node", F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
-    member = materialize(member.join(shared, "band"), "members")
+    pivots = member.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("hi")).where("pivot < hi").select("band", "pivot")
+    member = materialize(member.join(pivots, "band"), "members")
     least = least_matches(percent / 100)
-    labels = None
-    tried = None
-    links = None
-    seeds = [1, 1, 1, 2, 4, 8]
-    turn = 0
-    while True:
-        # members with labels, in buckets that still hold two components
-        labelled = member.withColumn("label", F.col("node")) if labels is None else member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("band", "n")
-        labelled = materialize(labelled.join(open_, "band"), "labelled")
-        largest = labelled.agg(F.max("n")).first()[0]
-        if not largest:
-            break
-        a, b = F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")
-        done = largest <= LAST and turn > 0
-        if done:
-            other = labelled.select("band", F.col("node").alias("p"), F.col("label").alias("p_label"))
-            pairs = labelled.join(other, "band").where("p < node and p_label != label").select(a, b)
-        else:
-            count = seeds[min(turn, len(seeds) - 1)]
-            picks = [F.min(F.struct(F.xxhash64("node", F.lit(turn * 100 + k)).alias("h"), F.col("node").alias("p"), F.col("label").alias("p_label"))).alias(f"p{k}") for k in range(count)]
-            pivots = labelled.groupBy("band").agg(*picks).select("band", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(count))))).alias("x"))
-            pivots = pivots.select("band", "x.p", "x.p_label").distinct()
-            pairs = labelled.join(pivots, "band").where("p != node and p_label != label").select(a, b)
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        signed_pairs = pairs.join(signs.select(F.col("node").alias("a"), F.col("signature").alias("sig_a")), "a").join(signs.select(F.col("node").alias("b"), F.col("signature").alias("sig_b")), "b")
-        likely = materialize(signed_pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(partial(_prune, least=least), "a long, b long"), "likely")
-        nodes = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
-        sets = table.join(nodes, "doc_id", "left_semi").mapInArrow(partial(_set_rows, n=words), "node long, shingles binary")
-        sets = materialize(sets, "sets")
-        full = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
-        sure = materialize(full.select("a", "b", "set_a", "set_b").mapInArrow(partial(_confirm, percent=percent), "a long, b long").distinct(), "links")
-        links = sure if links is None else links.unionByName(sure)
-        labels = components(links)
-        if done:
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        member = labelled.join(pivots.select("band", F.col("p").alias("node")), ["band", "node"], "left_anti").select("node", "band")
-        turn += 1
-    placed = classes.select(*keys, "node")
-    if labels is not None:
-        placed = placed.join(labels, "node", "left").select(*keys, F.coalesce("label", "node").alias("component_id"))
-    else:
-        placed = placed.withColumnRenamed("node", "component_id")
+    # each member against its bucket's pivot
+    pairs = member.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pairs.join(signs.select(F.col("node").alias("b"), F.col("signature").alias("sig_b")), "b").join(signs.select(F.col("node").alias("a"), F.col("signature").alias("sig_a")), "a")
+    stars = materialize(pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(partial(_prune, least=least), "a long, b long"), "stars")
+    labels = components(stars)
+    named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # what is apart from the pivot against the whole bucket, in blocks
+    of_pivot = named.where("node = pivot").select("band", F.col("label").alias("home"))
+    named = materialize(named.select("band", "node", "label").join(of_pivot, "band").withColumn("left", F.expr("label != home")), "named")
+    apart = named.where("left").groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    rows = named.join(apart, "band").join(signs, "node")
+    chunk = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+    rows = rows.withColumn("chunk", chunk).withColumn("left", F.col("left") & (F.pmod(F.xxhash64("node"), F.col("n")) == F.col("chunk")))
+    rows = rows.select("band", F.col("chunk").cast("long").alias("chunk"), "node", "label", "left", "signature")
+    rows = rows.repartition(parts, "band", "chunk").sortWithinPartitions("band", "chunk", "node")
+    more = materialize(rows.mapInArrow(partial(_compare, least=least), "a long, b long").distinct(), "compared")
+    labels = components(stars.unionByName(more))
+    # components of likely pairs on full sets, in blocks
+    heads = labels.select("label", F.col("label").alias("node")).distinct()
+    labels = labels.select("label", "node").unionByName(heads).join(classes.groupBy("node").agg(F.max("n_shingles").alias("size")), "node")
+    width = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / SHINGLES)).cast("int").alias("n")
+    labels = labels.join(labels.groupBy("label").agg(width), "label").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+    cells = labels.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    cells = materialize(cells.select("node", "label", F.least("own", "other").cast("long").alias("i"), F.greatest("own", "other").cast("long").alias("j")), "cells")
+    nodes = cells.select(F.col("node").alias("doc_id")).distinct()
+    nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST else nodes
+    texts = table.join(nodes, "doc_id", "left_semi").join(cells.withColumnRenamed("node", "doc_id"), "doc_id")
+    sets = texts.select("label", "i", "j", "doc_id", "text").repartition(parts, "label", "i", "j").sortWithinPartitions("label", "i", "j", "doc_id")
+    sets = sets.mapInArrow(partial(_set_rows, n=words), "label long, i long, j long, node long, shingles binary")
+    links = sets.mapInArrow(partial(_confirm, percent=percent), "a long, b long")
+    labels = components(links)
+    placed = classes.select(*keys, "node").join(labels, "node", "left").select(*keys, F.coalesce("label", "node").alias("component_id"))
     linked = some.select("doc_id", "n_shingles", *keys).join(placed, keys, "left").select("doc_id", "n_shingles", "component_id")
     alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = linked.unionByName(alone)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, grammar, neardup, packing, pii, quality
+from . import chat, decontaminate, grammar, langid, lm, neardup, packing, pii, quality, toxicity
 from .store import materialize, read_table, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = "\\### Assistant: </turn> ok"
@@ -52,6 +56,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_id")
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("items", ","), 256)
@@ -59,7 +71,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_pii, op3_near_duplicates, op4_token_ids, op6_chat_format, op7_packing, op10_decontamination)
+    own = (op1_quality_rules, op2_pii, op3_near_duplicates, op4_token_ids, op5_language, op6_chat_format, op7_packing, op8_language_model, op9_toxicity, op10_decontamination)
     return {f.__name__: f for f in own}
 
 
@@ -97,12 +109,12 @@ with w as (
   select 'd' as kind, doc_id as id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents
   union all select 'i', item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') from benchmark),
 v as (
-  select distinct item_id, n, array_to_string(list_slice(w, at, at + n - 1), ' ') as g
-  from (select id as item_id, w, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as at from w where kind = 'i' and len(w) > 0)),
-t as (select doc_id, at, n, array_to_string(list_slice(w, at, at + n - 1), ' ') as g
-  from (select id as doc_id, w, n, unnest(range(1, greatest(1, len(w) - n + 2))) as at from w, (select distinct n from v) where kind = 'd')),
-o as (select doc_id, at, v.n, item_id from t join v on t.g = v.g and t.n = v.n),
-h as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(at, at + n)) as p from o) group by doc_id),
+  select distinct item_id, n, array_to_string(list_slice(w, pos, pos + n - 1), ' ') as g
+  from (select id as item_id, w, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as pos from w where kind = 'i' and len(w) > 0)),
+t as (select doc_id, pos, n, array_to_string(list_slice(w, pos, pos + n - 1), ' ') as g
+  from (select id as doc_id, w, n, unnest(range(1, greatest(1, len(w) - n + 2))) as pos from w, (select distinct n from v) where kind = 'd')),
+o as (select doc_id, pos, v.n, item_id from t join v on t.g = v.g and t.n = v.n),
+h as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(pos, pos + n)) as p from o) group by doc_id),
 i as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as items from (select distinct doc_id, item_id from o) group by doc_id)
 select w.id as doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
