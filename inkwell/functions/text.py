@@ -67,7 +67,9 @@ def spaced_words(text: Column) -> Column:
 
 
 def bigrams(listed: Column) -> Column:
-    return F.when(F.size(listed) > 1, F.transform(F.sequence(F.lit(1), F.size(listed) - 1), lambda k: F.concat_ws(" ", F.get(listed, k - 1), F.get(listed, k)))).otherwise(F.array().cast("array<string>"))
+    """Neighbouring words joined by a space; both sides are slices, so that the list is not computed anew for each pair."""
+    n = F.greatest(F.size(listed) - 1, F.lit(0))
+    return F.zip_with(F.slice(listed, F.lit(1), n), F.slice(listed, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
 
 
 def syllables(word: Column) -> Column:
