@@ -36,7 +36,8 @@ def top_words(docs: DataFrame, k: int = 20) -> DataFrame:
 
 
 def top_bigrams(docs: DataFrame, k: int = 15) -> DataFrame:
-    pairs = docs.select(F.explode(text.bigrams(text.words(F.lower(F.coalesce("text", F.lit("")))))).alias("bigram"))
+    listed = docs.select(text.words(F.lower(F.coalesce("text", F.lit("")))).alias("w"))
+    pairs = listed.select(F.explode(text.bigrams(F.col("w"))).alias("bigram"))
     part = F.split("bigram", " ")
     pairs = pairs.where(~F.get(part, F.lit(0)).isin(*STOP_WORDS) & ~F.get(part, F.lit(1)).isin(*STOP_WORDS))
     return pairs.groupBy("bigram").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "bigram").limit(k)
