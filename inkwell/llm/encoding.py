@@ -21,7 +21,9 @@ from tokenizers import Tokenizer  # noqa: E402
 
 DEFAULT = "byte_bpe_50k.json"
 #: Parts remembered by each Python worker, at most; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
+#: Marks that always start a new stretch behind a letter.
+_MARKS = ".,;:!?%$#*&|"
 
 
 def tokenizer_path(name: str = DEFAULT) -> str:
@@ -50,8 +52,14 @@ class Encoder:
             self.parts.clear()
         known = self.parts
         new = [p for p in set(chain.from_iterable(parts[1:] for parts in cut)).difference(known) if p and not p[0].isspace()]
-        if new:
-            known.update(zip(new, self.whole([" " + p for p in new]), strict=True))
+        # letters and the marks behind them never share a stretch, so both are encoded apart
+        cores = {p: core for p in new if (core := p.rstrip(_MARKS)) != p and core.isalpha()}
+        plain = [p for p in {*cores.values(), *(p for p in new if p not in cores)} if p not in known]
+        if plain:
+            known.update(zip(plain, self.whole([" " + p for p in plain]), strict=True))
+        ends = list({p[len(core) :] for p, core in cores.items()})
+        marks = dict(zip(ends, self.whole(ends), strict=True)) if ends else {}
+        known.update((p, known[core] + marks[p[len(core) :]]) for p, core in cores.items())
         out = []
         for text, parts, first in zip(texts, cut, self.whole([parts[0] for parts in cut]), strict=True):
             try:
