@@ -21,7 +21,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(read_table(spark, sf_dir, "documents"))
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii.BASE_KINDS]
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
 
