@@ -20,8 +20,8 @@ from .store import materialize, spread_by_doc
 SAMPLE, TERMS = 20_000, 400
 #: Lengths of the word beginnings that may be learnt as stems.
 STEMS = (4, 5, 6, 7)
-#: Words remembered by a worker, at most.
-REMEMBERED = 300_000
+#: Words remembered by a worker and states of an automaton, at most; beyond it the memory starts anew.
+REMEMBERED, STATES = 300_000, 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: Marks and words about a quotation.
 _QUOTES = re.compile("[\"“”„«»]")
@@ -63,17 +63,89 @@ def fit_lexicon(table: DataFrame, toxic: np.ndarray, clean: np.ndarray) -> dict[
     return chosen
 
 
+class Automaton:
+    """The words within most edits of a trie's terms, made deterministic state by state as words are read.
+
+    A state holds, for each trie node that is near enough, the least distance between the characters read and the
+    node's path. Words that share a beginning, or whose beginnings leave the same nodes, share states.
+    """
+
+    def __init__(self, terms: list[str], most: int):
+        self.most = most
+        self.below: list[dict[str, int]] = [{}]
+        self.ends: dict[int, tuple[str, int]] = {}  # node -> (term, edits that it bears)
+        for term in terms:
+            node = 0
+            for ch in term:
+                if ch not in self.below[node]:
+                    self.below[node][ch] = len(self.below)
+                    self.below.append({})
+                node = self.below[node][ch]
+            self.ends[node] = (term, min(most, Lexicon.errors(len(term))))
+        self.restart()
+
+    def restart(self) -> None:
+        self.number: dict[frozenset, int] = {}
+        self.nodes: list[list[tuple[int, int]]] = []
+        self.next: list[dict[str, int]] = []
+        self.best: list[tuple[int, str] | None] = []
+        self.state({0: 0})
+
+    def state(self, near: dict[int, int]) -> int:
+        """The number of the state of these nodes and all that skipping term characters reaches from them; -1 for none."""
+        todo = list(near)
+        for node in todo:
+            d = near[node] + 1
+            if d <= self.most:
+                for child in self.below[node].values():
+                    if near.get(child, self.most + 1) > d:
+                        near[child] = d
+                        todo.append(child)
+        if not near:
+            return -1
+        key = frozenset(near.items())
+        if key not in self.number:
+            self.number[key] = len(self.nodes)
+            self.nodes.append(list(near.items()))
+            self.next.append({})
+            self.best.append(min(((d, self.ends[n][0]) for n, d in near.items() if n in self.ends and d <= self.ends[n][1]), default=None))
+        return self.number[key]
+
+    def step(self, at: int, ch: str) -> int:
+        near: dict[int, int] = {}
+        for node, d in self.nodes[at]:
+            if d < self.most:
+                near[node] = min(d + 1, near.get(node, d + 1))
+                for child in self.below[node].values():
+                    near[child] = min(d + 1, near.get(child, d + 1))
+            child = self.below[node].get(ch)
+            if child is not None:
+                near[child] = min(d, near.get(child, d))
+        to = self.next[at][ch] = self.state(near)
+        return to
+
+    def match(self, word: str) -> tuple[int, str] | None:
+        """(distance, term) of the nearest term, the first by name of equally near ones."""
+        if len(self.nodes) > STATES:
+            self.restart()
+        at, steps = 0, self.next
+        for ch in word:
+            to = steps[at].get(ch)
+            at = self.step(at, ch) if to is None else to
+            if at < 0:
+                return None
+        return self.best[at]
+
+
 class Lexicon:
-    """A trie of terms, walked together with the Levenshtein automaton of a word."""
+    """Terms, met by words through one automaton for each number of edits that a word's length allows."""
 
     def __init__(self, terms: dict[str, float]):
         self.terms = terms
-        self.root: dict = {}
-        for term in terms:
-            node = self.root
-            for ch in term.rstrip("*"):
-                node = node.setdefault(ch, {})
-            node["*" if term.endswith("*") else ""] = term
+        whole = [t for t in terms if not t.endswith("*")]
+        self.stems = {t[:-1]: t for t in terms if t.endswith("*")}
+        self.sizes = sorted({len(s) for s in self.stems})
+        self.near = [Automaton(whole, most) for most in range(3)]
         self.known: dict[str, tuple[str, int] | None] = {}
 
     @staticmethod
@@ -82,25 +154,11 @@ class Lexicon:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term (least distance, then by name) and its distance; stems must begin the word unchanged."""
-        best: tuple[int, str] | None = None
-        most = self.errors(len(word))
-        # a state: a trie node and the automaton's row of distances to each beginning of word
-        stack = [(self.root, list(range(len(word) + 1)), 0)]
-        while stack:
-            node, row, depth = stack.pop()
-            for ch, below in node.items():
-                if ch == "":
-                    if row[-1] <= min(most, self.errors(depth)) and (best is None or (row[-1], below) < best):
-                        best = (row[-1], below)
-                elif ch == "*":
-                    if depth < len(word) and row[depth] == 0 and (best is None or (0, below) < best):
-                        best = (0, below)
-                else:
-                    new = [row[0] + 1]
-                    for k, c in enumerate(word):
-                        new.append(min(new[-1] + 1, row[k + 1] + 1, row[k] + (c != ch)))
-                    if min(new) <= most:
-                        stack.append((below, new, depth + 1))
+        best = self.near[self.errors(len(word))].match(word)
+        for n in self.sizes:
+            stem = self.stems.get(word[:n]) if n < len(word) else None
+            if stem and (best is None or (0, stem) < best):
+                best = (0, stem)
         return (best[1], best[0]) if best else None
 
     def look(self, words: list[str]) -> list[tuple[str, int] | None]:
