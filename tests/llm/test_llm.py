@@ -1,3 +1,4 @@
+import hashlib
 import re
 import zlib
 
@@ -5,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell.llm import chat, decontaminate, encoding, grammar, langid, lm, neardup, packing, pii, quality, toxicity
+from inkwell.llm import chat, decontaminate, encoding, grammar, langid, lm, neardup, packing, pii, quality, queries, toxicity
 
 LONG = " ".join(f"w{k % 977}" for k in range(30_000))
 ODD = [(1, None), (2, ""), (3, "   \n "), (4, "a b"), (5, LONG), (5, LONG), (6, LONG), (None, "x y z"), (7, "Ünï ###\\ </turn> <|endoftext|>  a@b.co")]
@@ -62,6 +63,19 @@ def test_pii_base_spans_are_the_patterns():
     assert pii.mask('key password=b7db7aa4a5 and a@b.co') == "key password=<SECRET> and <EMAIL>"
 
 
+def test_pii_query_digests_its_spans(spark, tmp_path):
+    texts = ["mail a@b.co, x.y@c.de or 1.2.3.4", None, "", "call +1 (262) 555-3752, card 4539 1488 0343 6467, password=b7db7aa4a5", "299.1.1.1 é 10.0.0.1"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op2_pii(spark, str(tmp_path)).collect()}
+    for k, text in enumerate(texts):
+        spans = pii.find_spans(text)
+        said = [f"{kind}:{a}:{b}" for kind, a, b in spans]
+        base = [x for x in said if x.split(":")[0] in pii.BASE_KINDS]
+        assert [got[k][f"n_{kind}"] for kind in pii.BASE_KINDS] == [sum(s[0] == kind for s in spans) for kind in pii.BASE_KINDS]
+        assert got[k]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest() and got[k]["spans"] == ",".join(said)
+    assert [got[0]["n_email"], got[0]["n_ip"], got[3]["n_card"], got[3]["n_phone"], got[4]["n_ip"]] == [2, 1, 1, 1, 1]
+
+
 def test_near_duplicates_against_all_pairs(spark):
     rng = np.random.default_rng(2)
     base = [f"v{k}" for k in range(120)]
@@ -157,6 +171,40 @@ def test_lexicon_automaton_against_distances():
     assert lex.match("completely") is None
 
 
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (c != d)))
+        row = new
+    return row[-1]
+
+
+def test_lexicon_finds_the_nearest_of_all_terms():
+    rng = np.random.default_rng(6)
+
+    def word(least, most, letters):
+        return "".join(rng.choice(list(letters), rng.integers(least, most)))
+
+    terms = {word(3, 12, "abcd"): 1.0 for _ in range(50)} | {word(4, 8, "abcd") + "*": 1.0 for _ in range(8)}
+    lex = toxicity.Lexicon(terms)
+
+    def near(x):
+        found = [(0, t) for t in terms if t.endswith("*") and x.startswith(t[:-1]) and len(x) >= len(t)]
+        for t in terms:
+            if not t.endswith("*") and (d := _distance(x, t)) <= min(lex.errors(len(x)), lex.errors(len(t))):
+                found.append((d, t))
+        return min(found)[::-1] if found else None
+
+    for _ in range(1500):
+        x = word(3, 13, "abcde") if rng.random() < 0.5 else str(rng.choice(list(terms))).rstrip("*")
+        for _ in range(rng.integers(0, 3)):
+            k = int(rng.integers(0, len(x)))
+            x = (x[:k] + x[k + 1 :], x[:k] + "x" + x[k:], x[:k] + "a" + x[k + 1 :])[rng.integers(0, 3)] or "a"
+        assert lex.match(x) == near(x), x
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(5)
     words, langs = [b"abc", b"xyz", b"ab"], np.array([0, 1, 0])
