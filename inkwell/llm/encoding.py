@@ -1,8 +1,9 @@
 """Encoding whole texts with a public byte-level tokenizer, each distinct stretch between spaces encoded once.
 
-The byte-level pattern always starts a new stretch at a space that follows a non-space and precedes one, so a text cut
-there encodes to the concatenation of its parts. Texts with a space before more white space or at the end, where that
-need not hold, are encoded whole.
+The byte-level pattern always starts a new stretch at a space or line break before a non-space, and a line break there
+is a stretch of its own, so a text cut there encodes to the concatenation of its parts. Texts with other runs of white
+space or with white space at an end, where that need not hold, are encoded whole. Cutting, finding a batch's distinct
+parts and putting their ids together are Arrow kernels; Python sees each distinct part of a batch once.
 """
 
 from __future__ import annotations
@@ -10,20 +11,23 @@ from __future__ import annotations
 import os
 from array import array
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
 DEFAULT = "byte_bpe_50k.json"
-#: Parts remembered by each Python worker, at most; beyond it the memory starts anew.
+#: Parts remembered by each Python worker, and a batch's new ones; beyond it only those met again in the latest batch stay.
 REMEMBERED = 800_000
 #: Parts encoded as one text.
 TOGETHER = 64
+#: The byte-level vocabulary's character for a space.
+_SPACED = chr(256 + 32)
 #: Marks that always start a new stretch behind a letter.
 _MARKS = ".,;:!?%$#*&|"
 
@@ -32,6 +36,11 @@ def tokenizer_path(name: str = DEFAULT) -> str:
     return public_tokenizers.path(name)
 
 
+def _usable(part: str) -> bool:
+    """Whether a part begins with a non-space, behind a line break at most."""
+    return bool(part) and not part[0].isspace() or part[:1] == "\n" and part != "\n" and not part[1].isspace()
+
+
 def _packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
@@ -44,7 +53,7 @@ class Encoder:
         self.remembered = remembered
         self.parts: dict[str, bytes] = {}
         # ids whose bytes begin with a space
-        self.opens = np.array([b[:1] == b" " for b in token_bytes(path)])
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "")[:1] == _SPACED for i in range(self.tokenizer.get_vocab_size())])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -61,13 +70,14 @@ class Encoder:
                 out += self.whole([" " + p for p in group])
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
-        cut = [t.split(" ") for t in texts]
-        if len(self.parts) > self.remembered:
-            self.parts.clear()
+    def learn(self, new: list[str]) -> None:
+        """Remembers the ids of parts behind a space; a part that opens with a line break replaces the space by it."""
         known = self.parts
-        new = [p for p in set(chain.from_iterable(parts[1:] for parts in cut)).difference(known) if p and not p[0].isspace()]
+        broken = [p for p in new if p[0] == "\n"]
+        if broken:
+            lead = self.whole(["\n"])[0]
+            known.update((p, lead + ids) for p, ids in zip(broken, self.whole([p[1:] for p in broken]), strict=True))
+        new = [p for p in new if p[0] != "\n"]
         # letters and the marks behind them never share a stretch, so both are encoded apart
         cores = {p: core for p in new if (core := p.rstrip(_MARKS)) != p and core.isalpha()}
         plain = [p for p in {*cores.values(), *(p for p in new if p not in cores)} if p not in known]
@@ -76,12 +86,39 @@ class Encoder:
         ends = list({p[len(core) :] for p, core in cores.items()})
         marks = dict(zip(ends, self.whole(ends), strict=True)) if ends else {}
         known.update((p, known[core] + marks[p[len(core) :]]) for p, core in cores.items())
-        out = []
-        for text, parts, first in zip(texts, cut, self.whole([parts[0] for parts in cut]), strict=True):
-            try:
-                out.append(first + b"".join(map(known.__getitem__, parts[1:])))
-            except KeyError:
-                out += self.whole([text])
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of each text; a null has none."""
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(column):
+            return []
+        # a line break before each text makes its first part one like others; that break's id is cut off again
+        cut = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise("\n", column, ""), "\n", " \n"), " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        code = coded.indices.to_numpy()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        own = list(map(self.parts.get, parts))
+        if len(self.parts) > self.remembered:
+            self.parts = {p: ids for p, ids in zip(parts, own, strict=True) if ids is not None}
+        new = [k for k, ids in enumerate(own) if ids is None]
+        usable = [k for k in new if _usable(parts[k])]
+        self.learn([parts[k] for k in usable])
+        unusable = np.zeros(len(parts), dtype=bool)
+        unusable[new] = True
+        unusable[usable] = False
+        for k in new:
+            own[k] = b"" if unusable[k] else self.parts[parts[k]]
+        own = pa.array(own, pa.large_binary())
+        odd = np.add.reduceat(unusable[code], bounds[:-1], dtype=np.int64) > 1  # what is before a text's break is empty
+        ids = own.take(coded.indices)
+        at = np.frombuffer(ids.buffers()[1], dtype=np.int64)[bounds]
+        data = memoryview(ids.buffers()[2] or b"")
+        skip = len(self.whole(["\n"])[0])
+        out = [b"" if whole else bytes(data[a + skip : b]) for whole, a, b in zip(odd.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        rest = np.flatnonzero(odd).tolist()
+        for k, packed in zip(rest, self.whole(column.take(pa.array(rest, pa.int64())).to_pylist()), strict=True):
+            out[k] = packed
         return out
 
 

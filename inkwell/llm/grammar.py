@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,64 +32,75 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = R
     occurrences from the left; of overlapping ones every second stays. No pair spans two documents.
     """
     s, ends, rules, base = ids.astype(np.uint32), ends.astype(np.int64), [], first_rule
+    number = np.full((1 << _BITS) + 1, -1, dtype=np.int32)
     for _ in range(rounds):
         if len(s) < 2:
             break
-        key = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int32)
-        inner = np.ones(len(key), dtype=bool)
-        inner[ends[ends <= len(key)] - 1] = False
-        count = np.bincount(slot[inner], minlength=1 << _BITS)
-        top = np.flatnonzero(count >= max(least, np.partition(count, -pairs)[-pairs]))[:pairs]
-        if not len(top):
+        slot = (((s[:-1] * np.uint32(0x9E3779B1)) ^ (s[1:] * np.uint32(0x85EBCA77))) >> np.uint32(32 - _BITS)).astype(np.intp)
+        slot[ends[ends <= len(slot)] - 1] = 1 << _BITS  # pairs that span documents
+        count = np.bincount(slot, minlength=(1 << _BITS) + 1)[:-1]
+        often = np.flatnonzero(count >= least)
+        if len(often) > pairs:
+            some = count[often]
+            often = often[some >= np.partition(some, -pairs)[-pairs]][:pairs]
+        if not len(often):
             break
-        number = np.full(1 << _BITS, -1, dtype=np.int32)
-        number[top] = np.arange(len(top), dtype=np.int32)
-        at = np.flatnonzero((number[slot] >= 0) & inner)
-        which, own = number[slot[at]], key[at]
-        chosen = np.zeros(len(top), dtype=np.uint64)
-        chosen[which[::-1]] = own[::-1]  # a slot's first pair; others that share the slot wait
-        at, which = (x[own == chosen[which]] for x in (at, which))
-        opens = np.ones(len(at), dtype=bool)
-        opens[1:] = at[1:] != at[:-1] + 1
-        run = np.flatnonzero(opens)
-        along = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
-        at, which = at[along % 2 == 0], which[along % 2 == 0]
-        used = np.flatnonzero(np.bincount(which, minlength=len(top)) >= least)
+        number[often] = np.arange(len(often), dtype=np.int32)
+        which = number[slot]
+        number[often] = -1
+        at = np.flatnonzero(which >= 0)
+        which, left, right = which[at], s[at], s[at + 1]
+        chosen = np.zeros((len(often), 2), dtype=np.uint32)
+        chosen[which[::-1], 0], chosen[which[::-1], 1] = left[::-1], right[::-1]  # a slot's first pair; others that share the slot wait
+        own = (left == chosen[which, 0]) & (right == chosen[which, 1])
+        at, which = at[own], which[own]
+        follows = np.zeros(len(at), dtype=bool)
+        follows[1:] = at[1:] == at[:-1] + 1
+        if follows.any():
+            run = np.maximum.accumulate(np.where(follows, 0, np.arange(len(at))))
+            free = (np.arange(len(at)) - run) % 2 == 0
+            at, which = at[free], which[free]
+        uses = np.bincount(which, minlength=len(often))
+        used = np.flatnonzero(uses >= least)
         if not len(used):
             break
-        renumber = np.full(len(top), -1, dtype=np.int64)
+        renumber = np.full(len(often), -1, dtype=np.int64)
         renumber[used] = np.arange(len(used))
-        at, which = at[renumber[which] >= 0], renumber[which[renumber[which] >= 0]]
+        which = renumber[which]
+        at, which = at[which >= 0], which[which >= 0]
         s[at] = (base + which).astype(np.uint32)
         stays = np.ones(len(s), dtype=bool)
         stays[at + 1] = False
         ends = ends - np.searchsorted(at + 1, ends)
         s = s[stays]
-        rules.append(np.stack([chosen[used] >> np.uint64(32), chosen[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
+        rules.append(chosen[used])
         base += len(used)
     return s, ends, rules
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, counts: list[int], first_rule: int) -> np.ndarray:
-    """The ids that symbols stand for."""
-    s, base = symbols, first_rule + len(rules)
-    for n in reversed(counts):
-        base -= n
-        long = s >= base
-        to = np.cumsum(1 + long) - 1
-        out = np.empty(int(to[-1]) + 1 if len(s) else 0, dtype=np.uint32)
-        pair = rules[s[long] - first_rule]
-        out[to[~long]] = s[~long]
-        out[to[long] - 1], out[to[long]] = pair[:, 0], pair[:, 1]
-        s = out
-    return s
-
-
-def rule_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
-    out = np.ones(len(rules), dtype=np.int64)
-    for k, pair in enumerate(rules.tolist()):
-        out[k] = sum(out[x - first_rule] if x >= first_rule else 1 for x in pair)
+@cache
+def _single(n: int) -> list[bytes]:
+    """Ids below n, four bytes each."""
+    return [i.to_bytes(4, "little") for i in range(n)]
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
+    """The ids that symbols stand for: each rule is expanded once, then all symbols by one gather."""
+    below = list(_single(first_rule))
+    for x, y in rules.tolist():  # a rule's pair is older than the rule
+        below.append(below[x] + below[y])
+    out = pa.array(below, pa.large_binary()).take(pa.array(symbols.astype(np.int32)))
+    return np.frombuffer(out.buffers()[2] or b"", dtype="<u4")
+
+
+def rule_lengths(rules: list[np.ndarray], first_rule: int) -> np.ndarray:
+    """How many ids each rule stands for; rules of a round only use older ones."""
+    out = np.ones(sum(map(len, rules)), dtype=np.int64)
+    to = 0
+    for pairs in rules:
+        size = np.concatenate([[1], out[:to]])  # an id's length, then those of the rules so far
+        out[to : to + len(pairs)] = size[np.maximum(pairs.astype(np.int64) - first_rule + 1, 0)].sum(axis=1)
+        to += len(pairs)
     return out
 
 
@@ -117,14 +128,14 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[p
         n = np.array([len(b) // 4 for b in packed], dtype=np.int64)
         symbols, ends, rules = compress(as_ids(b"".join(packed)), np.cumsum(n), first_rule)
         flat = np.concatenate([*rules, np.zeros((0, 2), np.uint32)]).astype("<u4")
-        row = (part, shard, int(n.sum()), first_rule, [len(r) for r in rules], flat.tobytes(), rule_lengths(flat, first_rule).astype("<u4").tobytes(), doc_ids, np.diff(ends, prepend=0).tolist(), n.tolist(), _narrow(symbols))
+        row = (part, shard, int(n.sum()), first_rule, [len(r) for r in rules], flat.tobytes(), rule_lengths(rules, first_rule).astype("<u4").tobytes(), doc_ids, np.diff(ends, prepend=0).tolist(), n.tolist(), _narrow(symbols))
         doc_ids, packed, held, shard = [], [], 0, shard + 1
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _SHARDS.types, strict=True)], schema=_SHARDS)
 
     for batch in batches:
-        for piece in slices(batch, limit=1 << 19):
+        for piece in slices(batch, limit=1 << 22):
             doc_ids += piece.column("doc_id").to_pylist()
-            new = [b + closing for b in encoder(path).encode(piece.column("text").to_pylist())]
+            new = [b + closing for b in encoder(path).encode(piece.column("text"))]
             packed += new
             held += sum(map(len, new)) // 4
             if held >= SHARD:
@@ -149,13 +160,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():
             rules = np.frombuffer(r["rules"], dtype="<u4").reshape(-1, 2)
-            ids = expand(_wide(r["symbols"]), rules, r["rule_counts"], r["first_rule"]).astype("<u4").tobytes()
+            ids = pa.py_buffer(expand(_wide(r["symbols"]), rules, r["first_rule"]))
             n = np.array(r["doc_n_ids"], dtype=np.int64)
             to = np.cumsum(n)
+            bounds = pa.py_buffer(np.concatenate([[0], 4 * to]))
+            cut = pa.Array.from_buffers(pa.large_binary(), len(n), [None, bounds, ids])
+            table = pa.RecordBatch.from_arrays([pa.array(r["doc_ids"], pa.int64()), pa.array(r["first_id"] + to - n), pa.array(n), cut], names=["doc_id", "start", "n_tokens", "ids"])
             for a in range(0, len(n), 512):
-                b = min(len(n), a + 512)
-                cut = [ids[4 * (e - k) : 4 * e] for e, k in zip(to[a:b].tolist(), n[a:b].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(r["doc_ids"][a:b], pa.int64()), pa.array(r["first_id"] + to[a:b] - n[a:b]), pa.array(n[a:b]), pa.array(cut, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                piece = table.slice(a, 512)
+                yield piece.set_column(3, "ids", piece.column("ids").cast(pa.binary()))
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,4 +193,4 @@ def decode_range(shard: dict, start: int, length: int) -> np.ndarray:
     a = int(np.searchsorted(to, start, "right"))
     b = int(np.searchsorted(to, start + length, "left")) + 1
     skip = start - (int(to[a - 1]) if a else 0)
-    return expand(symbols[a:b], rules, shard["rule_counts"], first)[skip : skip + length]
+    return expand(symbols[a:b], rules, first)[skip : skip + length]

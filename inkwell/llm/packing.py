@@ -117,8 +117,8 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _PIECES.types, strict=True)], schema=_PIECES)
 
     for batch in batches:
-        for piece in slices(batch):
-            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder(path).encode(piece.column("text").to_pylist()), strict=True):
+        for piece in slices(batch, limit=1 << 22):
+            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder(path).encode(piece.column("text")), strict=True):
                 held.append((doc_id, ids + closing))
                 n_held += len(ids) // 4 + 1
             if n_held >= BUFFER:

@@ -105,6 +105,15 @@ def test_encoding_is_the_tokenizers():
     assert e.encode(texts) == e.whole(texts)
 
 
+def test_encoder_on_runs_of_white_space_with_a_short_memory():
+    rng = np.random.default_rng(8)
+    bits = [" ", " ", "\n", "\n", "\t", "\u2003", "a", "be", "é", "22", ".", "!!", "###", "'s", "\x1c", "日本", "\x00"]
+    e = encoding.Encoder(encoding.tokenizer_path(), remembered=500)
+    for _ in range(40):
+        texts = ["".join(rng.choice(bits, rng.integers(0, 15))) for _ in range(100)]
+        assert e.encode(texts) == e.whole(texts)
+
+
 def test_token_files_round_trip(spark, odd, tmp_path):
     grammar.write_ids(odd, str(tmp_path / "ids"))
     rows = sorted(grammar.read_ids(spark, str(tmp_path / "ids")).collect(), key=lambda r: r["start"])
