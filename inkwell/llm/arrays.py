@@ -6,6 +6,7 @@ text is hashed by two lookups. Positions are byte positions within the batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,14 @@ _CHUNK = 1 << 18
 _MASK = (1 << 64) - 1
 
 
+def release() -> None:
+    """Gives freed memory back to the system; workers live on through stages and keep what earlier ones freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit."""
     h = h ^ (h >> U64(32))

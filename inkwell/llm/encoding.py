@@ -24,8 +24,8 @@ from tokenizers import Tokenizer  # noqa: E402
 DEFAULT = "byte_bpe_50k.json"
 #: Parts remembered by each Python worker, and a batch's new ones; beyond it only those met again in the latest batch stay.
 REMEMBERED = 800_000
-#: Parts encoded as one text.
-TOGETHER = 64
+#: Parts encoded as one text, and texts given to the tokenizer at once.
+TOGETHER, AT_ONCE = 64, 4096
 #: The byte-level vocabulary's character for a space.
 _SPACED = chr(256 + 32)
 #: Marks that always start a new stretch behind a letter.
@@ -56,7 +56,8 @@ class Encoder:
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "")[:1] == _SPACED for i in range(self.tokenizer.get_vocab_size())])
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        runs = (texts[k : k + AT_ONCE] for k in range(0, len(texts), AT_ONCE))  # encodings are much larger than their ids
+        return [_packed(e.ids) for run in runs for e in self.tokenizer.encode_batch_fast(run, add_special_tokens=False)]
 
     def spaced(self, parts: list[str]) -> list[bytes]:
         """The ids of each part behind a space. Parts hold no space, so in a text of many each begins at an id that opens with one."""
@@ -123,9 +124,9 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    """One for each worker process and tokenizer."""
-    return Encoder(path)
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """One for each worker process, tokenizer and size of memory."""
+    return Encoder(path, remembered)
 
 
 @cache

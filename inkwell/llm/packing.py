@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .arrays import slices
+from .arrays import release, slices
 from .encoding import encoder, tokenizer_path
 from .store import spread_by_doc
 
@@ -18,6 +18,8 @@ WINDOW, END = 2048, 1
 TIERS = (256, 512, 1024, 2048)
 #: Tokens packed together, at least; what a worker holds in memory is about this much.
 BUFFER = 1 << 20
+#: Parts of texts that a worker's encoder remembers; after other stages of a pipeline little memory is left.
+REMEMBERED = 400_000
 #: Tokens of a step group.
 STEP = 1 << 16
 PIECES = "doc_id long, start long, ids binary, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, window int, step_id long"
@@ -92,6 +94,8 @@ def balance(totals: list[int], step: int = STEP) -> list[int]:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
+    release()
+    code = encoder(path, REMEMBERED)
     part = TaskContext.get().partitionId() << 40
     n_sequences = n_steps = 0
     held: list[tuple[int, bytes]] = []
@@ -117,8 +121,8 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _PIECES.types, strict=True)], schema=_PIECES)
 
     for batch in batches:
-        for piece in slices(batch, limit=1 << 22):
-            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder(path).encode(piece.column("text")), strict=True):
+        for piece in slices(batch, limit=1 << 21):
+            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), code.encode(piece.column("text")), strict=True):
                 held.append((doc_id, ids + closing))
                 n_held += len(ids) // 4 + 1
             if n_held >= BUFFER:
