@@ -7,7 +7,8 @@ text is hashed by two lookups. Positions are byte positions within the batch.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,19 @@ def release() -> None:
         trim(0)
 
 
+def releasing(kernel: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A batch kernel whose worker gives back what the task has freed."""
+
+    @wraps(kernel)
+    def run(*args, **options):
+        try:
+            yield from kernel(*args, **options)
+        finally:
+            release()
+
+    return run
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit."""
     h = h ^ (h >> U64(32))
@@ -64,7 +78,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of whole rows with about limit bytes of text each (one row at least)."""
     if not batch.num_rows:
         return

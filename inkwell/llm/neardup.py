@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, Words, mix, shingle_sets, slices
+from .arrays import U64, Words, mix, releasing, shingle_sets, slices
 from .store import materialize, parallelism, spread_by_doc
 
 BANDS, ROWS = 30, 4
@@ -54,6 +54,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+@releasing
 def _sign(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch):
@@ -96,6 +97,7 @@ def _signs(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, _N)
 
 
+@releasing
 def _prune(batches: Iterator[pa.RecordBatch], least: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -147,6 +149,7 @@ def _pairs(nodes: np.ndarray, forest: Forest) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(nodes[kept[:, 0]]), pa.array(nodes[kept[:, 1]])], names=["a", "b"])
 
 
+@releasing
 def _compare(batches: Iterator[pa.RecordBatch], least: np.ndarray) -> Iterator[pa.RecordBatch]:
     """In each part of a bucket a forest of the likely pairs of a fresh member (left) and any other of another label."""
     for table in groups(batches, ["band", "chunk"]):
@@ -161,6 +164,7 @@ def _compare(batches: Iterator[pa.RecordBatch], least: np.ndarray) -> Iterator[p
             yield _pairs(nodes, forest)
 
 
+@releasing
 def _set_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch):
@@ -168,6 +172,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("label", "i", "j", "doc_id")), pa.array([s.tobytes() for s in sets], pa.binary())], names=["label", "i", "j", "node", "shingles"])
 
 
+@releasing
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """In each group of full sets a forest of the exact links, found over an inverted list of shingles."""
     for table in groups(batches, ["label", "i", "j"]):
