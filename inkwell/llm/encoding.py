@@ -25,7 +25,7 @@ DEFAULT = "byte_bpe_50k.json"
 #: Parts remembered by each Python worker, and a batch's new ones; beyond it only those met again in the latest batch stay.
 REMEMBERED = 800_000
 #: Parts encoded as one text, and texts given to the tokenizer at once.
-TOGETHER, AT_ONCE = 64, 4096
+TOGETHER, AT_ONCE = 64, 1024
 #: The byte-level vocabulary's character for a space.
 _SPACED = chr(256 + 32)
 #: Marks that always start a new stretch behind a letter.

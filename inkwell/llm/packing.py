@@ -11,15 +11,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .arrays import release, slices
-from .encoding import encoder, tokenizer_path
+from .encoding import REMEMBERED, encoder, tokenizer_path
 from .store import spread_by_doc
 
 WINDOW, END = 2048, 1
 TIERS = (256, 512, 1024, 2048)
 #: Tokens packed together, at least; what a worker holds in memory is about this much.
 BUFFER = 1 << 20
-#: Parts of texts that a worker's encoder remembers; after other stages of a pipeline little memory is left.
-REMEMBERED = 400_000
 #: Tokens of a step group.
 STEP = 1 << 16
 PIECES = "doc_id long, start long, ids binary, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, window int, step_id long"
@@ -93,9 +91,9 @@ def balance(totals: list[int], step: int = STEP) -> list[int]:
     return out
 
 
-def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int, remembered: int) -> Iterator[pa.RecordBatch]:
     release()
-    code = encoder(path, REMEMBERED)
+    code = encoder(path, remembered)
     part = TaskContext.get().partitionId() << 40
     n_sequences = n_steps = 0
     held: list[tuple[int, bytes]] = []
@@ -131,10 +129,11 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa
         yield flush()
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, end: int = END) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece of an encoded document: where it starts there, its ids, and its sequence, offset and step group.
 
     Each partition packs its own documents, so nothing is shuffled and only a partition's last buffer leaves short
     sequences. Null and empty texts are the end id alone. Repeated rows are packed each; further columns are ignored.
+    remembered bounds each worker's memory of encoded parts, which only costs or saves time.
     """
-    return spread_by_doc(docs).mapInArrow(partial(_pack, path=path or tokenizer_path(), end=end), PIECES)
+    return spread_by_doc(docs).mapInArrow(partial(_pack, path=path or tokenizer_path(), end=end, remembered=remembered), PIECES)
