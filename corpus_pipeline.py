@@ -26,7 +26,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(docs)
+    pieces = packing.pack_documents(docs, remembered=200_000)  # earlier stages leave workers less memory
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_id")
 
 
