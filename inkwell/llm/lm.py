@@ -1,9 +1,10 @@
-"""Language-model scores: prediction by partial matching over bytes within words, and an additive unigram base.
+"""Language-model scores: prediction by partial matching over the bytes of whole texts, and an additive unigram base.
 
-A text is its words, each closed by a space, and one end. Contexts are the bytes before a symbol back to the space
-before its word, so a word always costs the same and is scored once, however often it occurs. Whatever grows with the
-corpus (words, trie nodes) lives in tables; only a bounded head of the most frequent ones is sent to the workers, and
-the rest is joined.
+A text is the bytes of its words, each closed by a space, and one end. Contexts are the ORDER bytes before a symbol,
+across spaces. Texts are written as packed blocks. A block asks for each of its distinct grams (a context and its
+symbol) once; grams are counted and priced where those with the same last two context bytes meet; and the prices go
+back to the block, which adds them up along its texts. Words of the base live in a table; a bounded head of the most
+frequent ones is sent to the workers, and the rest is joined.
 """
 
 from __future__ import annotations
@@ -19,16 +20,18 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import slices, sums, utf8
+from .arrays import releasing, slices, sums, utf8
 from .neardup import groups
 from .sampling import crc32_mod
 from .store import materialize, parallelism
 
 ORDER = 6
-#: Words, and trie nodes, sent to workers at most.
-HEAD_WORDS, HEAD_GRAMS = 150_000, 400_000
+#: Words sent to workers at most.
+HEAD_WORDS = 150_000
+#: Bytes of text of a block, and for each part of the trie, about.
+BLOCK, PART = 6 << 20, 1 << 23
 _SLICE = 1 << 24
-#: The symbol that closes a word, the one that ends a text, and what fills contexts before a word.
+#: The symbol that closes a word, the one that ends a text, and what fills contexts before a text.
 _SPACE, _END, _FILL = 32, 10, 9
 _FIRST = int.from_bytes(bytes([_FILL] * (ORDER - 1) + [_SPACE]), "big")
 _END_GRAM = (_FIRST << 8) | _END
@@ -52,33 +55,123 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(c)], names=["word", "c"])
 
 
-def gram_keys(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, bounds): for each symbol of each word its context and itself as one integer; a word's lie between its bounds."""
-    data, offsets = utf8(words)
-    size = np.diff(offsets) + ORDER + 1
-    ends = np.cumsum(size)
-    flat = np.full(int(ends[-1]) if len(ends) else 0, _FILL, dtype=np.uint8)
-    inner = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets)) + np.repeat(ends - size + ORDER, np.diff(offsets))
+def _stream(words: pa.Array, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(flat, bounds): the bytes of texts of n words each, with ORDER bytes of context before and the end behind each."""
+    rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), words)
+    data, offsets = utf8(pc.binary_join(rows, " "))
+    size = np.diff(offsets) + ORDER + (n > 0) + 1
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    flat = np.full(int(bounds[-1]), _FILL, dtype=np.uint8)
+    inner = np.repeat(bounds[:-1] + ORDER - offsets[:-1], np.diff(offsets))
+    inner += np.arange(len(data))
     flat[inner] = data
-    flat[ends - size + ORDER - 1] = _SPACE
-    flat[ends - 1] = _SPACE
+    flat[bounds[:-1] + ORDER - 1] = _SPACE
+    flat[bounds[1:][n > 0] - 2] = _SPACE
+    flat[bounds[1:] - 1] = _END
+    return flat, bounds
+
+
+def stream_keys(words: pa.Array, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, bounds): for each symbol of texts of n words each its context and itself as one integer; a text's lie between its bounds."""
+    flat, bounds = _stream(words, n)
     is_symbol = np.ones(len(flat), dtype=bool)
     for k in range(ORDER):
-        is_symbol[ends - size + k] = False
-    at = np.flatnonzero(is_symbol)
-    key = np.zeros(len(at), dtype=np.int64)
+        is_symbol[bounds[:-1] + k] = False
+    key = np.zeros(len(flat), dtype=np.int64)
     for k in range(ORDER, -1, -1):
-        key = (key << 8) | flat[at - k]
-    return key, np.concatenate([[0], np.cumsum(size - ORDER)])
+        key <<= 8
+        key[k:] |= flat[: len(flat) - k]
+    return key[is_symbol], bounds - ORDER * np.arange(len(bounds))
+
+
+def gram_keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """stream_keys of a text column."""
+    return stream_keys(*split_words(column))
 
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each symbol follows each byte."""
+    low = np.zeros(1 << 16, dtype=np.int64)
     for batch in batches:
-        if batch.num_rows:
-            key, bounds = gram_keys(batch.column("word"))
-            each = np.repeat(batch.column("c").to_numpy(), np.diff(bounds))
-            seen, place = np.unique(key, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(np.bincount(place, weights=each).astype(np.int64))], names=["gram", "c"])
+        for piece in slices(batch.filter(batch.column("learn")), limit=_SLICE >> 2):
+            flat, bounds = _stream(*split_words(piece.column("text")))
+            pair = flat[:-1].astype(np.uint16) << 8 | flat[1:]
+            is_symbol = np.ones(len(pair), dtype=bool)
+            for k in range(-1, ORDER - 1):
+                is_symbol[(bounds[:-1] if k >= 0 else bounds[1:-1]) + k] = False
+            low += np.bincount(pair[is_symbol], minlength=1 << 16)
+    own = np.flatnonzero(low)
+    yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(low[own])], names=["p", "c"])
+
+
+def part_of(gram: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the trie that holds a gram: all with the same last two context bytes are in one."""
+    return (((gram >> 8) & 0xFFFF) * 40503 % 65521 % parts).astype(np.int64)
+
+
+def _packed(data: bytes | pa.Buffer) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> pa.Buffer:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd")
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """All values packed, the lowest byte of each first, then the next ones."""
+    return _packed(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_unpacked(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+@releasing
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of about BLOCK bytes of text (one row at least)."""
+    block = TaskContext.get().partitionId() << 36
+    held, size = [], 0
+
+    def packed() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema) as out:
+            for piece in held:
+                out.write_batch(piece)
+        return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([_packed(sink.getvalue())], pa.binary())], names=["block", "data"])
+
+    for batch in batches:
+        for piece in slices(batch):
+            held.append(piece)
+            size += len(utf8(piece.column("text"))[0])
+            if size >= BLOCK:
+                yield packed()
+                block, held, size = block + 1, [], 0
+    if held:
+        yield packed()
+
+
+def _texts(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(_unpacked(data)).read_all().combine_chunks()
+
+
+@releasing
+def _ask(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Of each block and part the sorted distinct grams and how often rows to learn from have them."""
+    for block, data in ((r["block"], r["data"]) for batch in batches for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
+        table = _texts(data)
+        key, bounds = gram_keys(table.column("text").combine_chunks())
+        key <<= 1
+        key |= np.repeat(table.column("learn").to_numpy(), np.diff(bounds))
+        key.sort()
+        first = np.concatenate([[True], (key[1:] ^ key[:-1]) > 1]).nonzero()[0]
+        c = np.add.reduceat(key.astype(np.int8) & 1, first, dtype=np.int32)
+        gram = key[first] >> 1
+        part = part_of(gram, parts)
+        order = np.argsort(part, kind="stable")
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+        asked = [(p, order[cuts[p] : cuts[p + 1]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
+        columns = [pa.array([p for p, _ in asked]), pa.array([block] * len(asked)), pa.array([_planes(np.diff(gram[at], prepend=0)) for _, at in asked], pa.binary()), pa.array([_planes(c[at]) for _, at in asked], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "grams", "counts"])
 
 
 class _Level:
@@ -136,46 +229,54 @@ def trie_scores(gram: np.ndarray, c: np.ndarray, low: np.ndarray) -> np.ndarray:
     return out
 
 
-def _trie(batches: Iterator[pa.RecordBatch], low: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for table in groups(batches, ["tail"]):
-        gram, c = table.column("gram").to_numpy(), table.column("c").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(c), pa.array(trie_scores(gram, c, low))], names=["gram", "c", "ppm"])
-
-
-def _score_words(batches: Iterator[pa.RecordBatch], head: Broadcast) -> Iterator[pa.RecordBatch]:
-    grams, scores = head.value
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, bounds = gram_keys(batch.column("word"))
-        seen, place = np.unique(key, return_inverse=True)
-        at = np.minimum(np.searchsorted(grams, seen), max(0, len(grams) - 1))
-        known = grams[at] == seen if len(grams) else np.zeros(len(seen), dtype=bool)
-        value = np.where(known, scores[at] if len(grams) else 0.0, 0.0)[place]
-        rest = ~known[place]
-        left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(rest, bounds))]).astype(np.int32)), pa.array(key[rest]))
-        yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(sums(value, bounds)), left], names=["word", "c", "ppm", "rest"])
-
-
-def _score_docs(batches: Iterator[pa.RecordBatch], head: Broadcast, scale: float) -> Iterator[pa.RecordBatch]:
-    words_, c_, ppm_ = head.value
+@releasing
+def _price(batches: Iterator[pa.RecordBatch], low: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """log10 probabilities of the grams that each block asks a part for, in the block's order."""
+    for table in groups(batches, ["part"]):
+        asked = [np.cumsum(_from_planes(g, np.int64)) for g in table.column("grams").to_pylist()]
+        cuts = np.cumsum([0, *map(len, asked)])
+        gram, place = np.unique(np.concatenate(asked), return_inverse=True)
+        c = np.bincount(place, weights=np.concatenate([_from_planes(x, np.int32) for x in table.column("counts").to_pylist()])).astype(np.int64)
+        ppm = trie_scores(gram, c, low).astype(np.float32)
+        for k, block in enumerate(table.column("block").to_pylist()):
+            prices = pa.array([_planes(ppm[place[cuts[k] : cuts[k + 1]]])], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([block]), table.column("part")[k : k + 1].combine_chunks(), prices], names=["block", "part", "data"])
+
+
+def _sum_prices(words: pa.Array, n: np.ndarray, answers: dict[int, bytes], parts: int) -> np.ndarray:
+    """Each text's sum of the prices of its grams."""
+    key, bounds = stream_keys(words, n)
+    gram = np.sort(key)
+    gram = gram[np.concatenate([[True], gram[1:] != gram[:-1]])]
+    ppm = np.empty(len(gram))
+    ppm[np.argsort(part_of(gram, parts), kind="stable")] = np.concatenate([_from_planes(answers[p], np.float32) for p in sorted(answers)])
+    at = pc.index_in(pa.array(key), value_set=pa.array(gram)).to_numpy()
+    return np.add.reduceat(ppm[at], bounds[:-1])
+
+
+@releasing
+def _score_docs(batches: Iterator[pa.RecordBatch], head: Broadcast, scale: float, parts: int) -> Iterator[pa.RecordBatch]:
+    words_, c_ = head.value
     base_ = np.log10((c_ + 0.1) / scale)
     row = TaskContext.get().partitionId() << 36
-    for batch in batches:
-        for piece in slices(batch, limit=_SLICE >> 1):
-            words, n = split_words(piece.column("text"))
-            coded = words.dictionary_encode()
-            place = pc.index_in(coded.dictionary, value_set=words_)
-            known = place.is_valid().to_numpy(zero_copy_only=False)
-            at = place.fill_null(0).to_numpy(zero_copy_only=False)
-            code = coded.indices.to_numpy()
-            bounds = np.concatenate([[0], np.cumsum(n)])
-            of = lambda v: sums((np.where(known, v[at], 0) if len(v) else np.zeros(len(known)))[code], bounds)
-            rest = ~known[code]
-            left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(rest, bounds))]).astype(np.int32)), words.filter(pa.array(rest)))
-            size = piece.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + size)), piece.column("doc_id"), piece.column("learn"), pa.array(n.astype(np.int64)), pa.array(of(c_ > 0).astype(np.int64)), pa.array(of(base_).astype(float)), pa.array(of(ppm_).astype(float)), left], names=["row", "doc_id", "learn", "n", "known", "base", "ppm", "rest"])
-            row += size
+    for table in groups(batches, ["block"]):
+        answers = dict(zip(*(table.column(k).to_pylist() for k in ("part", "data")), strict=True))
+        piece = _texts(answers.pop(None))
+        words, n = split_words(piece.column("text").combine_chunks())
+        coded = words.dictionary_encode()
+        place = pc.index_in(coded.dictionary, value_set=words_)
+        known = place.is_valid().to_numpy(zero_copy_only=False)
+        at = place.fill_null(0).to_numpy(zero_copy_only=False)
+        code = coded.indices.to_numpy()
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        of = lambda v: sums((np.where(known, v[at], 0) if len(v) else np.zeros(len(known)))[code], bounds)
+        rest = ~known[code]
+        left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(rest, bounds))]).astype(np.int32)), words.filter(pa.array(rest)))
+        size = piece.num_rows
+        ppm = _sum_prices(words, n, answers, parts)
+        own = [piece.column(k).combine_chunks() for k in ("doc_id", "learn")]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + size)), *own, pa.array(n.astype(np.int64)), pa.array(of(c_ > 0).astype(np.int64)), pa.array(of(base_).astype(float)), pa.array(ppm), left], names=["row", "doc_id", "learn", "n", "known", "base", "ppm", "rest"])
+        row += size
 
 
 def _head(table: DataFrame, bound: int) -> DataFrame:
@@ -201,38 +302,28 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out: int = 0) -> DataFram
     spark = docs.sparkSession
     learn = F.coalesce(crc32_mod(F.col("doc_id"), folds) != held_out, F.lit(True)).alias("learn")
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", "text", learn)
-    ends = table.agg(F.coalesce(F.sum(F.col("learn").cast("long")), F.lit(0))).first()[0]
+    ends, size = table.agg(F.coalesce(F.sum(F.col("learn").cast("long")), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     counted = table.mapInArrow(_count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
     vocabulary = materialize(counted, "words")
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     n, v = n + ends, v + (ends > 0)
     # the trie
-    end = spark.createDataFrame([(_END_GRAM, int(ends))], "gram long, c long")
-    grams = vocabulary.mapInArrow(_grams, "gram long, c long").unionByName(end).groupBy("gram").agg(F.sum("c").alias("c"))
-    grams = materialize(grams, "grams")
     low = np.zeros((256, 256))
-    pairs = grams.groupBy(F.col("gram").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("p")).agg(F.sum("c").alias("c")).toPandas()  # 65,536 rows at most
+    pairs = table.mapInArrow(_pairs, "p int, c long").groupBy("p").agg(F.sum("c").alias("c")).toPandas()  # 65,536 rows at most
     low[pairs["p"].to_numpy() >> 8, pairs["p"].to_numpy() & 0xFF] = pairs["c"]
-    tail = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)).alias("tail")
-    nodes = grams.select("gram", "c", tail).repartition(parallelism(spark), "tail").sortWithinPartitions("tail", "gram")
-    nodes = materialize(nodes.mapInArrow(partial(_trie, low=low), "gram long, c long, ppm double"), "trie")
-    # words
-    top = _head(nodes, HEAD_GRAMS).toPandas().sort_values("gram")
-    sent = spark.sparkContext.broadcast((top["gram"].to_numpy(np.int64), top["ppm"].to_numpy(float)))
-    scored = materialize(vocabulary.mapInArrow(partial(_score_words, head=sent), "word string, c long, ppm double, rest array<bigint>"), "scored")
-    rest = scored.select("word", F.explode("rest").alias("gram")).join(nodes.select("gram", F.col("ppm").alias("p")), "gram")
-    rest = rest.groupBy("word").agg(F.sum("p").alias("more"))
-    scored = scored.select("word", "c", "ppm").join(rest, "word", "left").select("word", "c", (F.col("ppm") + F.coalesce("more", F.lit(0.0))).alias("ppm"))
-    scored = materialize(scored, "lexicon")
+    blocks, parts = max(parallelism(spark), size // BLOCK), max(parallelism(spark), size // PART)
+    texts = materialize(table.mapInArrow(_pack, "block long, data binary"), "texts")
+    asked = texts.mapInArrow(partial(_ask, parts=parts), "part long, block long, grams binary, counts binary")
+    prices = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(partial(_price, low=low), "block long, part long, data binary")
     # documents
-    top = _head(scored, HEAD_WORDS).toPandas()
-    sent = spark.sparkContext.broadcast((pa.array(top["word"], pa.string()), top["c"].to_numpy(np.int64), top["ppm"].to_numpy(float)))
+    top = _head(vocabulary, HEAD_WORDS).toPandas()
+    sent = spark.sparkContext.broadcast((pa.array(top["word"], pa.string()), top["c"].to_numpy(np.int64)))
     scale = n + 0.1 * (v + 1)
-    first = table.mapInArrow(partial(_score_docs, head=sent, scale=scale), "row long, doc_id long, learn boolean, n long, known long, base double, ppm double, rest array<string>")
+    both = texts.unionByName(prices, allowMissingColumns=True).repartition(blocks, "block").sortWithinPartitions("block")
+    first = both.mapInArrow(partial(_score_docs, head=sent, scale=scale, parts=parts), "row long, doc_id long, learn boolean, n long, known long, base double, ppm double, rest array<string>")
     first = materialize(first, "scores")
-    more = first.select("row", F.explode("rest").alias("word")).join(scored, "word").groupBy("row")
-    more = more.agg(F.sum(F.log10((F.col("c") + 0.1) / scale)).alias("base2"), F.sum("ppm").alias("ppm2"), F.count_if(F.col("c") > 0).alias("known2"))
-    end_ppm = nodes.where(F.col("gram") == _END_GRAM).first()["ppm"]
+    more = first.select("row", F.explode("rest").alias("word")).join(vocabulary, "word").groupBy("row")
+    more = more.agg(F.sum(F.log10((F.col("c") + 0.1) / scale)).alias("base2"), F.count_if(F.col("c") > 0).alias("known2"))
     out = first.drop("rest").join(more, "row", "left")
     return out.select(
         "doc_id",
@@ -241,5 +332,5 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out: int = 0) -> DataFram
         (F.col("known") + F.coalesce("known2", F.lit(0)) + int(ends > 0)).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base2", F.lit(0.0)) + float(np.log10((ends + 0.1) / scale))).alias("base_score"),
-        (F.col("ppm") + F.coalesce("ppm2", F.lit(0.0)) + float(end_ppm)).alias("score"),
+        F.col("ppm").alias("score"),
     )

@@ -173,6 +173,26 @@ def test_trie_probabilities_sum_to_one():
         assert abs(p[(every >> 8) == context].sum() - 1) < 1e-9
 
 
+def test_language_model_scores_whole_texts(spark):
+    """Against one trie of all texts; the same words in another order cost more."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    phrase = "the quick brown fox jumps over a lazy dog"
+    mixed = " ".join(rng.permutation(phrase.split()))
+    texts = [phrase] * 6 + [mixed, " ".join(rng.choice(["aa", "bé", "c", "Dd"], 400)), "", None, " x\n Y "]
+    got = {r["doc_id"]: r for r in lm.score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), held_out=10).collect()}
+    key, bounds = lm.gram_keys(pa.array(texts))
+    gram, c = np.unique(key, return_counts=True)
+    low = np.zeros((256, 256))
+    np.add.at(low, ((gram >> 8) & 0xFF, gram & 0xFF), c)
+    price = lm.trie_scores(gram, c, low)[np.searchsorted(gram, key)]
+    for k in range(len(texts)):
+        assert abs(got[k]["score"] - price[bounds[k] : bounds[k + 1]].sum()) < 1e-4
+        assert bytes((key[bounds[k] : bounds[k + 1]] & 0xFF).astype(np.uint8)) == b"".join(w.lower().encode() + b" " for w in (texts[k] or "").split()) + b"\n"
+    assert got[6]["base_score"] == pytest.approx(got[0]["base_score"]) and got[6]["score"] < got[0]["score"] - 1
+
+
 def test_lexicon_automaton_against_distances():
     lex = toxicity.Lexicon({"disgusting": 4.0, "loser": 3.0, "lowei*": 2.0})
     assert lex.match("disgustnig") == ("disgusting", 2) and lex.match("losser") == ("loser", 1)
