@@ -23,6 +23,8 @@ STEMS = (4, 5, 6, 7)
 #: Words remembered by a worker and states of an automaton, at most; beyond it the memory starts anew.
 REMEMBERED, STATES = 300_000, 100_000
 _WORD = re.compile(r"[^\W\d_]+")
+#: Words with digits or marks between their letters.
+_MIXED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[\d@$!*_]++[^\W\d_]++)+")
 #: Marks and words about a quotation.
 _QUOTES = re.compile("[\"“”„«»]")
 _CUES = frozenset("quote quoted said says called zitat sagte nannte cita dijo citation dit".split())
@@ -75,15 +77,20 @@ class Automaton:
         self.below: list[dict[str, int]] = [{}]
         self.ends: dict[int, tuple[str, int]] = {}  # node -> (term, edits that it bears)
         for term in terms:
-            node = 0
-            for ch in term:
-                if ch not in self.below[node]:
-                    self.below[node][ch] = len(self.below)
-                    self.below.append({})
-                node = self.below[node][ch]
-            self.ends[node] = (term, min(most, Lexicon.errors(len(term))))
+            self.ends[self.path(term)[-1]] = (term, min(most, Lexicon.errors(len(term))))
         self.restart()
 
+    def path(self, term: str) -> list[int]:
+        """The nodes from the root to a term's, made where they are missing."""
+        nodes = [0]
+        for ch in term:
+            below = self.below[nodes[-1]]
+            if ch not in below:
+                below[ch] = len(self.below)
+                self.below.append({})
+            nodes.append(below[ch])
+        return nodes
+
     def restart(self) -> None:
         self.number: dict[frozenset, int] = {}
         self.nodes: list[list[tuple[int, int]]] = []
@@ -137,6 +144,69 @@ class Automaton:
         return self.best[at]
 
 
+class Wide(Automaton):
+    """As Automaton, but swapped neighbours are one edit, a term's length alone gives its edits, and stems accept prefixes.
+
+    Besides nodes a state holds (node, x), a swap that x completes, and (node, None), a stem that the word goes on from.
+    """
+
+    def __init__(self, terms: list[str]):
+        self.most, self.below, self.ends = 2, [{}], {}
+        self.stems: dict[int, tuple[str, int]] = {}
+        room: dict[int, int] = {}  # node -> most edits that a term below it bears
+        for term in terms:
+            bare = term.removesuffix("*")
+            nodes, bears = self.path(bare), Lexicon.errors(len(bare))
+            (self.ends if bare == term else self.stems)[nodes[-1]] = (term, bears)
+            for node in nodes:
+                room[node] = max(bears, room.get(node, 0))
+        self.room = [room.get(k, 0) for k in range(len(self.below))]
+        self.restart()
+
+    def state(self, near: dict) -> int:
+        near = {k: d for k, d in near.items() if d <= self.room[k if isinstance(k, int) else k[0]]}
+        todo = [k for k in near if isinstance(k, int)]
+        for node in todo:
+            d = near[node] + 1
+            for child in self.below[node].values():
+                if d <= self.room[child] and near.get(child, d + 1) > d:
+                    near[child] = d
+                    todo.append(child)
+        if not near:
+            return -1
+        key = frozenset(near.items())
+        if key not in self.number:
+            self.number[key] = len(self.nodes)
+            self.nodes.append(list(near.items()))
+            self.next.append({})
+            found = [(d, *(self.ends.get(k, ("", -1)) if isinstance(k, int) else self.stems[k[0]] if k[1] is None else ("", -1))) for k, d in near.items()]
+            self.best.append(min(((d, term) for d, term, bears in found if d <= bears), default=None))
+        return self.number[key]
+
+    def step(self, at: int, ch: str) -> int:
+        near: dict = {}
+
+        def put(key: int | tuple, d: int) -> None:
+            near[key] = min(d, near.get(key, d))
+
+        for key, d in self.nodes[at]:
+            if not isinstance(key, int):
+                if key[1] is None:
+                    put(key, d)
+                elif key[1] == ch:
+                    put(key[0], d)
+                continue
+            if key in self.stems and d <= self.stems[key][1]:
+                put((key, None), d)
+            put(key, d + 1)
+            for x, child in self.below[key].items():
+                put(child, d + (x != ch))
+                if x != ch and ch in self.below[child]:
+                    put((self.below[child][ch], x), d + 1)
+        to = self.next[at][ch] = self.state(near)
+        return to
+
+
 class Lexicon:
     """Terms, met by words through one automaton for each number of edits that a word's length allows."""
 
@@ -146,6 +216,7 @@ class Lexicon:
         self.stems = {t[:-1]: t for t in terms if t.endswith("*")}
         self.sizes = sorted({len(s) for s in self.stems})
         self.near = [Automaton(whole, most) for most in range(3)]
+        self.wide = Wide(list(terms))
         self.known: dict[str, tuple[str, int] | None] = {}
 
     @staticmethod
@@ -161,12 +232,18 @@ class Lexicon:
                 best = (0, stem)
         return (best[1], best[0]) if best else None
 
+    def meet(self, word: str) -> tuple[str, int] | None:
+        """As match; a word without one meets the nearest term by the wider rules."""
+        found = self.match(word)
+        best = None if found else self.wide.match(word)
+        return (best[1], best[0]) if best else found
+
     def look(self, words: list[str]) -> list[tuple[str, int] | None]:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
         for w in set(words).difference(known):
-            known[w] = self.match(w) if len(w) > 2 else None
+            known[w] = self.meet(w) if len(w) > 2 else None
         return list(map(known.__getitem__, words))
 
 
@@ -182,12 +259,17 @@ def features(text: str, lexicon: Lexicon) -> tuple[float, ...]:
     low = text.lower()
     words = _WORD.findall(low)
     hits = [(k, m) for k, m in enumerate(lexicon.look(words)) if m]
-    if not hits:
+    mixed = list(_MIXED.finditer(low))
+    also = [(x.span(), m) for x, m in zip(mixed, lexicon.look([x[0] for x in mixed]), strict=True) if m]
+    if not hits and not also:
         return (0.0,) * len(_FEATURES)
-    spans = {k: m.span() for k, m in enumerate(_WORD.finditer(low))}
+    spans = {k: m.span() for k, m in enumerate(_WORD.finditer(low))} if hits else {}
+    hits = [(spans[k], m) for k, m in hits]
+    # a mixed word counts unless a part of it has
+    hits += [(span, m) for span, m in also if not any(span[0] <= a < span[1] for (a, _), _ in hits)]
     out = dict.fromkeys(_FEATURES, 0.0)
-    for k, (term, distance) in hits:
-        if quotes(low, *spans[k]):
+    for span, (term, distance) in hits:
+        if quotes(low, *span):
             out["quoted"] += 1
         else:
             out["misspelt" if distance else "stem" if term.endswith("*") else "exact"] += lexicon.terms[term] / (1 + distance)

@@ -234,6 +234,15 @@ def test_lexicon_finds_the_nearest_of_all_terms():
         assert lex.match(x) == near(x), x
 
 
+def test_misspelt_terms_are_met():
+    lex = toxicity.Lexicon({t: 3.0 for t in ("moron", "idiot", "loser", "clown", "trash", "stupid", "disgust*")})
+    for word, term in {"mron": "moron", "idot": "idiot", "losr": "loser", "clwn": "clown", "trsh": "trash", "idoit": "idiot", "stuipd": "stupid", "disgsuting": "disgust*", "dsgusted": "disgust*"}.items():
+        assert lex.meet(word) == (term, 1), word
+    assert lex.meet("idiot") == ("idiot", 0) and lex.meet("lantern") is None and lex.meet("disg") is None
+    assert toxicity.features("an id1ot", lex)[2] > 0 and toxicity.features("a l0ser!", lex)[2] > 0
+    assert toxicity.features("stop!idiot", lex)[:3] == toxicity.features("stop idiot", lex)[:3] and not any(toxicity.features("a v1rtue", lex))
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(5)
     words, langs = [b"abc", b"xyz", b"ab"], np.array([0, 1, 0])
