@@ -1,10 +1,10 @@
 """Language-model scores: prediction by partial matching over the bytes of whole texts, and an additive unigram base.
 
 A text is the bytes of its words, each closed by a space, and one end. Contexts are the ORDER bytes before a symbol,
-across spaces. Texts are written as packed blocks. A block asks for each of its distinct grams (a context and its
-symbol) once; grams are counted and priced where those with the same last two context bytes meet; and the prices go
-back to the block, which adds them up along its texts. Words of the base live in a table; a bounded head of the most
-frequent ones is sent to the workers, and the rest is joined.
+across spaces. Counts of short contexts go to all workers while they are few enough. Texts are written as packed blocks.
+A block asks for each of its distinct grams (a context and its symbol) once; grams are counted and priced where those
+whose contexts end in the same bytes meet; and the prices go back to the block, which adds them up along its texts. Words
+of the base live in a table; a bounded head of the most frequent ones is sent to the workers, and the rest is joined.
 """
 
 from __future__ import annotations
@@ -20,21 +20,23 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import releasing, slices, sums, utf8
+from .arrays import U64, mix, releasing, slices, sums, utf8
 from .neardup import groups
-from .sampling import crc32_mod
+from .sampling import in_fold
 from .store import materialize, parallelism
 
-ORDER = 6
-#: Words sent to workers at most.
-HEAD_WORDS = 150_000
+ORDER = 5
+#: The share of an occurrence of each distinct symbol that a context sets aside for escapes.
+ESCAPE = 0.3
+#: Words, and rows of counts of short contexts, sent to workers at most.
+HEAD_WORDS, SHORT = 150_000, 500_000
+#: Longest context whose counts may be sent.
+DEEP = 3
 #: Bytes of text of a block, and for each part of the trie, about.
-BLOCK, PART = 6 << 20, 1 << 23
+BLOCK, PART = 6 << 20, 6 << 20
 _SLICE = 1 << 24
 #: The symbol that closes a word, the one that ends a text, and what fills contexts before a text.
 _SPACE, _END, _FILL = 32, 10, 9
-_FIRST = int.from_bytes(bytes([_FILL] * (ORDER - 1) + [_SPACE]), "big")
-_END_GRAM = (_FIRST << 8) | _END
 
 
 def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -45,6 +47,7 @@ def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(pa.array(good)), sums(good, np.concatenate([[0], np.cumsum(size)]))
 
 
+@releasing
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, limit=_SLICE):
@@ -89,24 +92,19 @@ def gram_keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return stream_keys(*split_words(column))
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each symbol follows each byte."""
-    low = np.zeros(1 << 16, dtype=np.int64)
+@releasing
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often texts to learn from have each gram of DEEP context bytes."""
     for batch in batches:
-        for piece in slices(batch.filter(batch.column("learn")), limit=_SLICE >> 2):
-            flat, bounds = _stream(*split_words(piece.column("text")))
-            pair = flat[:-1].astype(np.uint16) << 8 | flat[1:]
-            is_symbol = np.ones(len(pair), dtype=bool)
-            for k in range(-1, ORDER - 1):
-                is_symbol[(bounds[:-1] if k >= 0 else bounds[1:-1]) + k] = False
-            low += np.bincount(pair[is_symbol], minlength=1 << 16)
-    own = np.flatnonzero(low)
-    yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(low[own])], names=["p", "c"])
+        for piece in slices(batch.filter(batch.column("learn")), limit=_SLICE >> 3):
+            gram, c = np.unique((gram_keys(piece.column("text"))[0] & 0xFFFFFFFF).astype(np.uint32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(c.astype(np.int64))], names=["gram", "c"])
 
 
-def part_of(gram: np.ndarray, parts: int) -> np.ndarray:
-    """The part of the trie that holds a gram: all with the same last two context bytes are in one."""
-    return (((gram >> 8) & 0xFFFF) * 40503 % 65521 % parts).astype(np.int64)
+def part_of(gram: np.ndarray, parts: int, depth: int) -> np.ndarray:
+    """The part of the trie that holds a gram: all whose contexts end in the same depth bytes are in one."""
+    tail = ((gram >> 8) & ((1 << 8 * depth) - 1)).astype(U64)
+    return (mix(tail) % U64(parts)).astype(np.int64)
 
 
 def _packed(data: bytes | pa.Buffer) -> bytes:
@@ -150,23 +148,27 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
-def _texts(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(_unpacked(data)).read_all().combine_chunks()
+def _texts(data: bytes) -> Iterator[pa.RecordBatch]:
+    """A block's rows in runs of about 1 MB of text."""
+    return iter(pa.ipc.open_stream(_unpacked(data)))
 
 
 @releasing
-def _ask(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterator[pa.RecordBatch], parts: int, depth: int) -> Iterator[pa.RecordBatch]:
     """Of each block and part the sorted distinct grams and how often rows to learn from have them."""
     for block, data in ((r["block"], r["data"]) for batch in batches for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
-        table = _texts(data)
-        key, bounds = gram_keys(table.column("text").combine_chunks())
-        key <<= 1
-        key |= np.repeat(table.column("learn").to_numpy(), np.diff(bounds))
-        key.sort()
-        first = np.concatenate([[True], (key[1:] ^ key[:-1]) > 1]).nonzero()[0]
-        c = np.add.reduceat(key.astype(np.int8) & 1, first, dtype=np.int32)
-        gram = key[first] >> 1
-        part = part_of(gram, parts)
+        found, counts = [], []
+        for piece in _texts(data):
+            key, bounds = gram_keys(piece.column("text"))
+            key <<= 1
+            key |= np.repeat(piece.column("learn").to_numpy(zero_copy_only=False), np.diff(bounds))
+            key.sort()
+            first = np.concatenate([[True], (key[1:] ^ key[:-1]) > 1]).nonzero()[0]
+            counts.append(np.add.reduceat(key.astype(np.int8) & 1, first, dtype=np.int32))
+            found.append(key[first] >> 1)
+        gram, of = np.unique(np.concatenate(found), return_inverse=True)
+        c = np.bincount(of, weights=np.concatenate(counts)).astype(np.int32)
+        part = part_of(gram, parts, depth)
         order = np.argsort(part, kind="stable")
         cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
         asked = [(p, order[cuts[p] : cuts[p + 1]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
@@ -174,109 +176,127 @@ def _ask(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "grams", "counts"])
 
 
-class _Level:
-    """Counts of one order, for each of some grams."""
-
-    def __init__(self, gram: np.ndarray, c: np.ndarray, order: int):
-        pair = gram & ((1 << 8 * (order + 1)) - 1)
-        self.pairs, self.pair_of = np.unique(pair, return_inverse=True)
-        self.pair_c = np.bincount(self.pair_of, weights=c)
-        self._contexts()
-
-    def _contexts(self) -> None:
-        context, self.context_of = np.unique(self.pairs >> 8, return_inverse=True)
-        self.total = np.bincount(self.context_of, weights=self.pair_c)
-        self.distinct = np.bincount(self.context_of, weights=self.pair_c > 0)
-
-    def rows(self, values: np.ndarray) -> np.ndarray:
-        """What contexts have, for each gram."""
-        return values[self.context_of][self.pair_of]
+class Level:
+    """Counts of one order: of each context its occurrences, distinct symbols, and how often those follow the next shorter one."""
+
+    def __init__(self, order: int, gram: np.ndarray, c: np.ndarray, shorter: Level | None):
+        """gram: sorted distinct grams; c: how often each occurs, 0 for those that are only asked for."""
+        if not len(gram):
+            gram, c = np.array([-1]), np.zeros(1)  # matches nothing
+        self.order, self.gram, self.c = order, gram, c.astype(float)
+        self.context, of = np.unique(gram >> 8, return_inverse=True)
+        self.total = np.bincount(of, weights=self.c)
+        self.distinct = np.bincount(of, weights=self.c > 0)
+        follow = shorter.find(gram)[0] if shorter else np.zeros(len(gram))
+        self.seen = np.bincount(of, weights=follow * (self.c > 0))
+
+    def find(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(count, place of the context, whether the context is known) for the ends of longer grams."""
+        gram = gram & ((1 << 8 * self.order + 8) - 1)
+        at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
+        count = np.where(self.gram[at] == gram, self.c[at], 0.0)
+        context = gram >> 8
+        at = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
+        return count, at, self.context[at] == context
+
+
+def levels_of(gram: np.ndarray, c: np.ndarray, top: int, shorter: list[Level]) -> list[Level]:
+    """Levels of all orders to top, those beyond the given shorter ones from sorted distinct grams of order top and their counts."""
+    tables = []
+    for order in range(top, len(shorter) - 1, -1):
+        tables.append((order, gram, c))
+        gram, of = np.unique(gram & ((1 << 8 * order) - 1), return_inverse=True)
+        c = np.bincount(of, weights=c, minlength=len(gram))
+    out = list(shorter)
+    for order, gram, c in reversed(tables):
+        out.append(Level(order, gram, c, out[-1] if out else None))
+    return out
 
 
-def trie_scores(gram: np.ndarray, c: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """log10 P(symbol | context) of grams that share their last two context bytes.
+def trie_scores(gram: np.ndarray, c: np.ndarray, short: list[Level]) -> np.ndarray:
+    """log10 P(symbol | context) of sorted distinct grams and their counts, all of those that share their last len(short) context bytes.
 
-    low[x, s]: the count of symbol s after byte x in all of the corpus. Half an occurrence of each distinct symbol
-    is set aside for escapes (method D); symbols that a longer context has seen are left out of shorter ones.
+    short: the levels of all shorter orders. A share ESCAPE of an occurrence of each distinct symbol is set aside for
+    escapes; symbols that a longer context has seen are left out of shorter ones.
     """
-    levels = [_Level(gram, c, k) for k in range(ORDER, 1, -1)]
-    byte, symbol = (gram >> 8) & 0xFF, gram & 0xFF
-    root = low.sum(axis=0)
-    counts = [v.pair_c[v.pair_of] for v in levels] + [low[byte, symbol], root[symbol]]
-    totals = [v.rows(v.total) for v in levels] + [low[byte].sum(axis=1), np.full(len(gram), root.sum())]
-    distinct = [v.rows(v.distinct) for v in levels] + [(low[byte] > 0).sum(axis=1), np.full(len(gram), (root > 0).sum())]
-    # of each context of an order: how often the symbols it has seen follow its next shorter context
-    seen = []
-    for k, v in enumerate(levels):
-        first = np.zeros(len(v.pairs), dtype=np.int64)
-        first[v.pair_of[::-1]] = np.arange(len(gram))[::-1]
-        shorter = counts[k + 1][first] * (v.pair_c > 0)
-        seen.append(v.rows(np.bincount(v.context_of, weights=shorter)))
-    seen.append((root[None, :] * (low > 0)).sum(axis=1)[byte])
+    levels = levels_of(gram, c, ORDER, short)
     out, open_, started = np.zeros(len(gram)), np.ones(len(gram), dtype=bool), np.zeros(len(gram), dtype=bool)
-    for k in range(ORDER + 1):
-        live = open_ & (totals[k] > 0)
-        total, kinds = totals[k].astype(float), distinct[k].astype(float)
-        if k:
-            total, kinds = np.where(started, total - seen[k - 1], total), np.where(started, kinds - distinct[k - 1], kinds)
-        hit = live & (counts[k] > 0)
-        miss = live & ~hit & (kinds > 0)
-        out[hit] += np.log10((counts[k][hit] - 0.5) / total[hit])
-        out[miss] += np.log10(0.5 * kinds[miss] / total[miss])
+    known, seen = np.zeros(len(gram)), np.zeros(len(gram))  # symbols of the longer context, and how often they follow this one
+    for level in reversed(levels):
+        count, at, has = level.find(gram)
+        total, kinds = np.where(has, level.total[at], 0.0), np.where(has, level.distinct[at], 0.0)
+        left, others = np.where(started, total - seen, total), np.where(started, kinds - known, kinds)
+        live = open_ & (total > 0)
+        hit = live & (count > 0)
+        miss = live & ~hit & (others > 0)
+        out[hit] += np.log10((count[hit] - ESCAPE) / left[hit])
+        out[miss] += np.log10(ESCAPE * others[miss] / left[miss])
         started |= live
         open_ &= ~hit
-    out[open_] -= np.log10(max(1, 256 - int((root > 0).sum())))
+        known, seen = kinds, np.where(has, level.seen[at], 0.0)
+    out[open_] -= np.log10(max(1, 256 - int(levels[0].distinct.sum())))
     return out
 
 
 @releasing
-def _price(batches: Iterator[pa.RecordBatch], low: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _price(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
     """log10 probabilities of the grams that each block asks a part for, in the block's order."""
+    short = None
     for table in groups(batches, ["part"]):
+        top, gram, c = sent.value
+        short = short if short is not None else levels_of(gram, c, top, [])
         asked = [np.cumsum(_from_planes(g, np.int64)) for g in table.column("grams").to_pylist()]
         cuts = np.cumsum([0, *map(len, asked)])
         gram, place = np.unique(np.concatenate(asked), return_inverse=True)
-        c = np.bincount(place, weights=np.concatenate([_from_planes(x, np.int32) for x in table.column("counts").to_pylist()])).astype(np.int64)
-        ppm = trie_scores(gram, c, low).astype(np.float32)
+        c = np.bincount(place, weights=np.concatenate([_from_planes(x, np.int32) for x in table.column("counts").to_pylist()]))
+        ppm = trie_scores(gram, c, short).astype(np.float32)
         for k, block in enumerate(table.column("block").to_pylist()):
             prices = pa.array([_planes(ppm[place[cuts[k] : cuts[k + 1]]])], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([block]), table.column("part")[k : k + 1].combine_chunks(), prices], names=["block", "part", "data"])
 
 
-def _sum_prices(words: pa.Array, n: np.ndarray, answers: dict[int, bytes], parts: int) -> np.ndarray:
-    """Each text's sum of the prices of its grams."""
-    key, bounds = stream_keys(words, n)
-    gram = np.sort(key)
-    gram = gram[np.concatenate([[True], gram[1:] != gram[:-1]])]
-    ppm = np.empty(len(gram))
-    ppm[np.argsort(part_of(gram, parts), kind="stable")] = np.concatenate([_from_planes(answers[p], np.float32) for p in sorted(answers)])
-    at = pc.index_in(pa.array(key), value_set=pa.array(gram)).to_numpy()
-    return np.add.reduceat(ppm[at], bounds[:-1])
+def fit_short(table: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """(order, grams, counts) of the longest contexts up to DEEP that have SHORT rows at most; 65,536 rows are always sent."""
+    counted = materialize(table.mapInArrow(_short, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c")), "short")
+    for order in range(DEEP, 0, -1):
+        own = counted.groupBy(F.col("gram").bitwiseAND((1 << 8 * order + 8) - 1).alias("gram")).agg(F.sum("c").alias("c")) if order < DEEP else counted
+        if order == 1 or own.count() <= SHORT:
+            rows = own.orderBy("gram").toPandas()  # SHORT rows at most
+            return order, rows["gram"].to_numpy(np.int64), rows["c"].to_numpy(float)
+    raise AssertionError
 
 
 @releasing
-def _score_docs(batches: Iterator[pa.RecordBatch], head: Broadcast, scale: float, parts: int) -> Iterator[pa.RecordBatch]:
+def _score_docs(batches: Iterator[pa.RecordBatch], head: Broadcast, scale: float, parts: int, depth: int) -> Iterator[pa.RecordBatch]:
     words_, c_ = head.value
     base_ = np.log10((c_ + 0.1) / scale)
     row = TaskContext.get().partitionId() << 36
     for table in groups(batches, ["block"]):
         answers = dict(zip(*(table.column(k).to_pylist() for k in ("part", "data")), strict=True))
-        piece = _texts(answers.pop(None))
-        words, n = split_words(piece.column("text").combine_chunks())
-        coded = words.dictionary_encode()
-        place = pc.index_in(coded.dictionary, value_set=words_)
-        known = place.is_valid().to_numpy(zero_copy_only=False)
-        at = place.fill_null(0).to_numpy(zero_copy_only=False)
-        code = coded.indices.to_numpy()
-        bounds = np.concatenate([[0], np.cumsum(n)])
-        of = lambda v: sums((np.where(known, v[at], 0) if len(v) else np.zeros(len(known)))[code], bounds)
-        rest = ~known[code]
-        left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(rest, bounds))]).astype(np.int32)), words.filter(pa.array(rest)))
-        size = piece.num_rows
-        ppm = _sum_prices(words, n, answers, parts)
-        own = [piece.column(k).combine_chunks() for k in ("doc_id", "learn")]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + size)), *own, pa.array(n.astype(np.int64)), pa.array(of(c_ > 0).astype(np.int64)), pa.array(of(base_).astype(float)), pa.array(ppm), left], names=["row", "doc_id", "learn", "n", "known", "base", "ppm", "rest"])
-        row += size
+        held, found = [], []
+        for piece in _texts(answers.pop(None)):
+            words, n = split_words(piece.column("text"))
+            key, ends = stream_keys(words, n)
+            found.append(np.unique(key))
+            coded = words.dictionary_encode()
+            place = pc.index_in(coded.dictionary, value_set=words_)
+            known = place.is_valid().to_numpy(zero_copy_only=False)
+            at = place.fill_null(0).to_numpy(zero_copy_only=False)
+            code = coded.indices.to_numpy()
+            bounds = np.concatenate([[0], np.cumsum(n)])
+            of = lambda v, known=known, at=at, code=code, bounds=bounds: sums((np.where(known, v[at], 0) if len(v) else np.zeros(len(known)))[code], bounds)
+            rest = ~known[code]
+            left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(rest, bounds))]).astype(np.int32)), words.filter(pa.array(rest)))
+            own = [pa.array(np.arange(row, row + len(n))), piece.column("doc_id"), piece.column("learn"), pa.array(n.astype(np.int64)), pa.array(of(c_ > 0).astype(np.int64)), pa.array(of(base_).astype(float)), left]
+            held.append((key, ends, own))
+            row += len(n)
+        gram = np.unique(np.concatenate(found))
+        ppm = np.empty(len(gram))
+        ppm[np.argsort(part_of(gram, parts, depth), kind="stable")] = np.concatenate([_from_planes(answers[p], np.float32) for p in sorted(answers)])
+        asked = pa.array(gram)
+        for key, ends, own in held:
+            price = np.add.reduceat(ppm[pc.index_in(pa.array(key), value_set=asked).to_numpy()], ends[:-1])
+            yield pa.RecordBatch.from_arrays([*own, pa.array(price)], names=["row", "doc_id", "learn", "n", "known", "base", "rest", "ppm"])
 
 
 def _head(table: DataFrame, bound: int) -> DataFrame:
@@ -300,7 +320,7 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out: int = 0) -> DataFram
     rows every symbol costs log10(256) and train_tokens is 0.
     """
     spark = docs.sparkSession
-    learn = F.coalesce(crc32_mod(F.col("doc_id"), folds) != held_out, F.lit(True)).alias("learn")
+    learn = (~in_fold(F.col("doc_id"), folds, held_out)).alias("learn")
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", "text", learn)
     ends, size = table.agg(F.coalesce(F.sum(F.col("learn").cast("long")), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     counted = table.mapInArrow(_count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -308,19 +328,18 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out: int = 0) -> DataFram
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     n, v = n + ends, v + (ends > 0)
     # the trie
-    low = np.zeros((256, 256))
-    pairs = table.mapInArrow(_pairs, "p int, c long").groupBy("p").agg(F.sum("c").alias("c")).toPandas()  # 65,536 rows at most
-    low[pairs["p"].to_numpy() >> 8, pairs["p"].to_numpy() & 0xFF] = pairs["c"]
+    short = fit_short(table)
+    depth, shared = short[0] + 1, spark.sparkContext.broadcast(short)
     blocks, parts = max(parallelism(spark), size // BLOCK), max(parallelism(spark), size // PART)
     texts = materialize(table.mapInArrow(_pack, "block long, data binary"), "texts")
-    asked = texts.mapInArrow(partial(_ask, parts=parts), "part long, block long, grams binary, counts binary")
-    prices = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(partial(_price, low=low), "block long, part long, data binary")
+    asked = texts.mapInArrow(partial(_ask, parts=parts, depth=depth), "part long, block long, grams binary, counts binary")
+    prices = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(partial(_price, sent=shared), "block long, part long, data binary")
     # documents
     top = _head(vocabulary, HEAD_WORDS).toPandas()
     sent = spark.sparkContext.broadcast((pa.array(top["word"], pa.string()), top["c"].to_numpy(np.int64)))
     scale = n + 0.1 * (v + 1)
     both = texts.unionByName(prices, allowMissingColumns=True).repartition(blocks, "block").sortWithinPartitions("block")
-    first = both.mapInArrow(partial(_score_docs, head=sent, scale=scale, parts=parts), "row long, doc_id long, learn boolean, n long, known long, base double, ppm double, rest array<string>")
+    first = both.mapInArrow(partial(_score_docs, head=sent, scale=scale, parts=parts, depth=depth), "row long, doc_id long, learn boolean, n long, known long, base double, rest array<string>, ppm double")
     first = materialize(first, "scores")
     more = first.select("row", F.explode("rest").alias("word")).join(vocabulary, "word").groupBy("row")
     more = more.agg(F.sum(F.log10((F.col("c") + 0.1) / scale)).alias("base2"), F.count_if(F.col("c") > 0).alias("known2"))

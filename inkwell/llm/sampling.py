@@ -7,10 +7,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled_ids(labels: DataFrame, where: Column, bound: int) -> np.ndarray:
-    """Sorted doc_ids of at most bound rows that hold where, those with the least hashed ids; the bound also bounds the driver's part."""
-    some = labels.where(where & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    rows = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).toPandas()
+def labelled_ids(labels: DataFrame, name: str, value: int, bound: int, where: Column | None = None) -> np.ndarray:
+    """Sorted doc_ids of at most bound documents whose label is value, those with the least hashed ids; the bound also bounds the driver's part.
+
+    A document that is labelled both ways is in no sample.
+    """
+    some = labels.where(F.col("doc_id").isNotNull() & F.col(name).isin(0, 1))
+    some = (some if where is None else some.where(where)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("label"))
+    one = some.groupBy("doc_id").agg(F.min("label").alias("low"), F.max("label").alias("high")).where((F.col("low") == value) & (F.col("high") == value))
+    rows = one.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).toPandas()
     return np.sort(rows["doc_id"].to_numpy(dtype=np.int64))
 
 
@@ -25,3 +30,8 @@ def member(ids: np.ndarray, sample: np.ndarray) -> np.ndarray:
 def crc32_mod(column: Column, n: int) -> Column:
     """crc32 of an id's decimal text, modulo n."""
     return F.crc32(column.cast("string").cast("binary")) % n
+
+
+def in_fold(column: Column, folds: int, held_out: int) -> Column:
+    """Whether an id is of the held-out fold; a null id isn't."""
+    return F.coalesce(crc32_mod(column, folds) == held_out, F.lit(False))
