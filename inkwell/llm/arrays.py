@@ -61,6 +61,8 @@ _Q = _powers(pow(_BASE, -1, 1 << 64), _CHUNK)
 _CASED = mix(np.arange(1, 257, dtype=U64))
 _LOWER = _CASED.copy()
 _LOWER[65:91] = _CASED[97:123]
+#: Byte constants of two independent hashes that take letters as they are.
+PLAIN, PROOF = _CASED, mix(np.arange(1001, 1257, dtype=U64))
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 

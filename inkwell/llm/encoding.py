@@ -3,7 +3,7 @@
 The byte-level pattern always starts a new stretch at a space or line break before a non-space, and a line break there
 is a stretch of its own, so a text cut there encodes to the concatenation of its parts. Texts with other runs of white
 space or with white space at an end, where that need not hold, are encoded whole. Cutting, finding a batch's distinct
-parts and putting their ids together are Arrow kernels; Python sees each distinct part of a batch once.
+parts and putting their ids together are array operations; Python sees a part only when it is not remembered.
 """
 
 from __future__ import annotations
@@ -21,11 +21,13 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
+from .arrays import PLAIN, PROOF, U64, stretch_hashes, utf8  # noqa: E402
+
 DEFAULT = "byte_bpe_50k.json"
-#: Parts remembered by each Python worker, and a batch's new ones; beyond it only those met again in the latest batch stay.
-REMEMBERED = 800_000
+#: Bytes of memory for remembered parts in each Python worker; beyond it only those met again in the latest batch stay.
+REMEMBERED = 32 << 20
 #: Parts encoded as one text, and texts given to the tokenizer at once.
-TOGETHER, AT_ONCE = 64, 1024
+TOGETHER, AT_ONCE = 64, 256
 #: The byte-level vocabulary's character for a space.
 _SPACED = chr(256 + 32)
 #: Marks that always start a new stretch behind a letter.
@@ -45,13 +47,52 @@ def _packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of stretches of given starts and sizes, one stretch behind another."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
+class Memory:
+    """Ids of parts under two 64-bit hashes of each, in arrays sorted by the first: some 30 bytes a part."""
+
+    def __init__(self):
+        self.key, self.proof = np.zeros(0, U64), np.zeros(0, U64)
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, "<u4")
+
+    def find(self, key: np.ndarray, proof: np.ndarray) -> np.ndarray:
+        """Where each part stands; -1 for unknown ones."""
+        if not len(self.key):
+            return np.full(len(key), -1)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where((self.key[at] == key) & (self.proof[at] == proof), at, -1)
+
+    def add(self, key: np.ndarray, proof: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        start = len(self.ids) + np.cumsum(size) - size
+        key, own = np.unique(key, return_index=True)
+        at = np.searchsorted(self.key, key)
+        self.key, self.proof = np.insert(self.key, at, key), np.insert(self.proof, at, proof[own])
+        self.start, self.size = np.insert(self.start, at, start[own]), np.insert(self.size, at, size[own])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def keep(self, at: np.ndarray) -> None:
+        """Forgets all but the parts at these places."""
+        at = np.unique(at)
+        self.ids = self.ids[ragged(self.start[at], self.size[at])]
+        self.key, self.proof, self.size = self.key[at], self.proof[at], self.size[at]
+        self.start = np.cumsum(self.size, dtype=np.int64) - self.size
+
+    def nbytes(self) -> int:
+        return 28 * len(self.key) + 4 * len(self.ids)
+
+
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
-        self.parts: dict[str, bytes] = {}
+        self.memory = Memory()
         # ids whose bytes begin with a space
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "")[:1] == _SPACED for i in range(self.tokenizer.get_vocab_size())])
 
@@ -63,64 +104,97 @@ class Encoder:
         """The ids of each part behind a space. Parts hold no space, so in a text of many each begins at an id that opens with one."""
         out: list[bytes] = []
         groups = [parts[k : k + TOGETHER] for k in range(0, len(parts), TOGETHER)]
-        for group, packed in zip(groups, self.whole([" " + " ".join(g) for g in groups]), strict=True):
-            at = (4 * np.flatnonzero(self.opens[as_ids(packed)])).tolist()
-            if len(at) == len(group) and at[0] == 0:
-                out += [packed[a:b] for a, b in zip(at, [*at[1:], len(packed)], strict=True)]
-            else:
-                out += self.whole([" " + p for p in group])
+        for k in range(0, len(groups), AT_ONCE):
+            some = groups[k : k + AT_ONCE]
+            for group, packed in zip(some, self.whole([" " + " ".join(g) for g in some]), strict=True):
+                at = (4 * np.flatnonzero(self.opens[as_ids(packed)])).tolist()
+                if len(at) == len(group) and at[0] == 0:
+                    out += [packed[a:b] for a, b in zip(at, [*at[1:], len(packed)], strict=True)]
+                else:
+                    out += self.whole([" " + p for p in group])
         return out
 
-    def learn(self, new: list[str]) -> None:
-        """Remembers the ids of parts behind a space; a part that opens with a line break replaces the space by it."""
-        known = self.parts
+    def learn(self, new: list[str]) -> list[bytes]:
+        """The ids of distinct parts behind a space; a part that opens with a line break replaces the space by it."""
+        known: dict[str, bytes] = {}
         broken = [p for p in new if p[0] == "\n"]
         if broken:
             lead = self.whole(["\n"])[0]
             known.update((p, lead + ids) for p, ids in zip(broken, self.whole([p[1:] for p in broken]), strict=True))
-        new = [p for p in new if p[0] != "\n"]
+        others = [p for p in new if p[0] != "\n"]
         # letters and the marks behind them never share a stretch, so both are encoded apart
-        cores = {p: core for p in new if (core := p.rstrip(_MARKS)) != p and core.isalpha()}
-        plain = [p for p in {*cores.values(), *(p for p in new if p not in cores)} if p not in known]
-        if plain:
-            known.update(zip(plain, self.spaced(plain), strict=True))
+        cores = {p: core for p in others if (core := p.rstrip(_MARKS)) != p and core.isalpha()}
+        plain = list({*cores.values(), *(p for p in others if p not in cores)})
+        known.update(zip(plain, self.spaced(plain), strict=True))
         ends = list({p[len(core) :] for p, core in cores.items()})
         marks = dict(zip(ends, self.whole(ends), strict=True)) if ends else {}
         known.update((p, known[core] + marks[p[len(core) :]]) for p, core in cores.items())
+        return [known[p] for p in new]
 
-    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
-        """The ids of each text; a null has none."""
+    def flat(self, texts: pa.Array | list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): the ids of all texts, each closed by end if that is given; a text's lie between its bounds. A null has none."""
         column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         if not len(column):
-            return []
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
         # a line break before each text makes its first part one like others; that break's id is cut off again
         cut = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise("\n", column, ""), "\n", " \n"), " ")
         bounds = cut.offsets.to_numpy().astype(np.int64)
         coded = cut.flatten().dictionary_encode()
+        del cut
         code = coded.indices.to_numpy()
-        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        own = list(map(self.parts.get, parts))
-        if len(self.parts) > self.remembered:
-            self.parts = {p: ids for p, ids in zip(parts, own, strict=True) if ids is not None}
-        new = [k for k, ids in enumerate(own) if ids is None]
-        usable = [k for k in new if _usable(parts[k])]
-        self.learn([parts[k] for k in usable])
-        unusable = np.zeros(len(parts), dtype=bool)
-        unusable[new] = True
-        unusable[usable] = False
-        for k in new:
-            own[k] = b"" if unusable[k] else self.parts[parts[k]]
-        own = pa.array(own, pa.large_binary())
-        odd = np.add.reduceat(unusable[code], bounds[:-1], dtype=np.int64) > 1  # what is before a text's break is empty
-        ids = own.take(coded.indices)
-        at = np.frombuffer(ids.buffers()[1], dtype=np.int64)[bounds]
-        data = memoryview(ids.buffers()[2] or b"")
-        skip = len(self.whole(["\n"])[0])
-        out = [b"" if whole else bytes(data[a + skip : b]) for whole, a, b in zip(odd.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        parts = coded.dictionary
+        data, at = utf8(parts)
+        key = stretch_hashes(data, at[:-1], at[1:], PLAIN)
+        proof = stretch_hashes(data, at[:-1], at[1:], PROOF)
+        place = self.memory.find(key, proof)
+        if self.memory.nbytes() > self.remembered:
+            self.memory.keep(place[place >= 0])
+            place = self.memory.find(key, proof)
+        new = np.flatnonzero(place < 0)
+        said = parts.take(pa.array(new)).to_pylist()
+        usable = np.array([_usable(p) for p in said], dtype=bool)
+        odd_part = np.zeros(len(parts), dtype=bool)
+        odd_part[new[~usable]] = True
+        if usable.any():
+            ids = self.learn([p for p, good in zip(said, usable.tolist(), strict=True) if good])
+            own = new[usable]
+            self.memory.add(key[own], proof[own], as_ids(b"".join(ids)), np.array([len(b) // 4 for b in ids], np.int32))
+            place = self.memory.find(key, proof)
+        known = place >= 0
+        start, size = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        start[known], size[known] = self.memory.start[place[known]], self.memory.size[place[known]]
+        first, last = bounds[:-1], bounds[1:]
+        odd = np.add.reduceat(odd_part[code], first, dtype=np.int64) > 1  # what is before a text's break is empty
+        skip = len(self.whole(["\n"])[0]) // 4
+        # where each part's ids go: behind one another, without the break's at a text's start
+        n = size[code]
+        n_text = np.add.reduceat(n, first) - skip
         rest = np.flatnonzero(odd).tolist()
-        for k, packed in zip(rest, self.whole(column.take(pa.array(rest, pa.int64())).to_pylist()), strict=True):
-            out[k] = packed
-        return out
+        wholes = [as_ids(b) for b in self.whole(column.take(pa.array(rest, pa.int64())).to_pylist())]
+        n_text[rest] = [len(w) for w in wholes]
+        closing = int(end is not None)
+        to = np.concatenate([[0], np.cumsum(n_text + closing)])
+        out = np.empty(int(to[-1]), "<u4")
+        n[np.repeat(odd, last - first)] = 0
+        begins = np.cumsum(n) - n
+        source = ragged(start[code], n)
+        keep = np.ones(len(source), dtype=bool)
+        plain = ~odd
+        if plain.any():
+            heads = begins[first[plain]]  # the empty part has no ids, so a text's ids open with its break's
+            for k in range(skip):
+                keep[heads + k] = False
+            out[ragged(to[:-1][plain], n_text[plain])] = self.memory.ids[source[keep]]
+        for k, ids in zip(rest, wholes, strict=True):
+            out[to[k] : to[k] + len(ids)] = ids
+        if closing:
+            out[to[1:] - 1] = end
+        return out, to
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of each text as bytes; a null has none."""
+        ids, bounds = self.flat(texts)
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 @cache

@@ -6,12 +6,13 @@ import heapq
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .arrays import release, slices
-from .encoding import REMEMBERED, encoder, tokenizer_path
+from .arrays import releasing, slices
+from .encoding import encoder, ragged, tokenizer_path
 from .store import spread_by_doc
 
 WINDOW, END = 2048, 1
@@ -91,49 +92,60 @@ def balance(totals: list[int], step: int = STEP) -> list[int]:
     return out
 
 
-def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int, remembered: int) -> Iterator[pa.RecordBatch]:
-    release()
-    code = encoder(path, remembered)
+def _joined(held: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """doc_ids, ids and bounds of all held runs as one."""
+    sizes = np.concatenate([np.diff(bounds) for _, _, bounds in held])
+    return pa.concat_arrays([d for d, _, _ in held]), np.concatenate([ids for _, ids, _ in held]), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _rows(doc_ids: pa.Array, ids: np.ndarray, bounds: np.ndarray, sequences: list[list[Piece]], first: int, first_step: int) -> tuple[pa.RecordBatch, int]:
+    """A row for each piece, and the number of step groups; sequences are numbered from first, groups from first_step."""
+    doc, start, length = np.array([p for s in sequences for p in s], dtype=np.int64).reshape(-1, 3).T
+    count = np.array([len(s) for s in sequences])
+    begins = np.cumsum(count) - count
+    totals = np.add.reduceat(length, begins)
+    steps = np.array(balance(totals.tolist()))
+    offset = np.cumsum(length) - length
+    own = lambda v: np.repeat(v, count)
+    size = np.where(totals & (totals - 1) == 0, totals, WINDOW)
+    cut = pa.py_buffer(np.concatenate([[0], np.cumsum(4 * length)]).astype(np.int32))
+    pieces = pa.Array.from_buffers(pa.binary(), len(doc), [None, cut, pa.py_buffer(ids[ragged(bounds[doc] + start, length)])])
+    columns = [doc_ids.take(pa.array(doc)), start, pieces, length, np.diff(bounds)[doc], own(first + np.arange(len(count))), offset - own(offset[begins]), own(totals), own(size).astype(np.int32), own(first_step + steps)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_PIECES), 1 + int(steps.max(initial=0))
+
+
+@releasing
+def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
+    code = encoder(path)
     part = TaskContext.get().partitionId() << 40
-    n_sequences = n_steps = 0
-    held: list[tuple[int, bytes]] = []
-    n_held = 0
-    closing = end.to_bytes(4, "little")
+    n_sequences = n_steps = n_held = 0
+    held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
     def flush() -> pa.RecordBatch:
         nonlocal held, n_held, n_sequences, n_steps
-        sequences = pack([len(ids) // 4 for _, ids in held])
-        totals = [sum(p[2] for p in s) for s in sequences]
-        steps = balance(totals)
-        rows: list[tuple] = []
-        for k, (pieces, total) in enumerate(zip(sequences, totals, strict=True)):
-            at = 0
-            for doc, start, length in pieces:
-                doc_id, ids = held[doc]
-                rows.append((doc_id, start, ids[4 * start : 4 * (start + length)], length, len(ids) // 4, part + n_sequences + k, at, total, total if total & (total - 1) == 0 else WINDOW, part + n_steps + steps[k]))
-                at += length
-        n_sequences += len(sequences)
-        n_steps += 1 + max(steps, default=0)
+        doc_ids, ids, bounds = _joined(held)
+        sequences = pack(np.diff(bounds).tolist())
+        out, steps = _rows(doc_ids, ids, bounds, sequences, part + n_sequences, part + n_steps)
+        n_sequences, n_steps = n_sequences + len(sequences), n_steps + steps
         held, n_held = [], 0
-        columns = zip(*rows, strict=True) if rows else [()] * len(_PIECES)
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _PIECES.types, strict=True)], schema=_PIECES)
+        return out
 
     for batch in batches:
-        for piece in slices(batch, limit=1 << 21):
-            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), code.encode(piece.column("text")), strict=True):
-                held.append((doc_id, ids + closing))
-                n_held += len(ids) // 4 + 1
+        for piece in slices(batch):
+            ids, bounds = code.flat(piece.column("text"), end)
+            held.append((piece.column("doc_id"), ids, bounds))
+            n_held += len(ids)
             if n_held >= BUFFER:
                 yield flush()
     if held:
         yield flush()
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, end: int = END) -> DataFrame:
     """One row per piece of an encoded document: where it starts there, its ids, and its sequence, offset and step group.
 
     Each partition packs its own documents, so nothing is shuffled and only a partition's last buffer leaves short
-    sequences. Null and empty texts are the end id alone. Repeated rows are packed each; further columns are ignored.
-    remembered bounds each worker's memory of encoded parts, which only costs or saves time.
+    sequences. Null and empty texts are the end id alone. Repeated rows are packed each; further columns are ignored;
+    an empty table gives no pieces.
     """
-    return spread_by_doc(docs).mapInArrow(partial(_pack, path=path or tokenizer_path(), end=end, remembered=remembered), PIECES)
+    return spread_by_doc(docs).mapInArrow(partial(_pack, path=path or tokenizer_path(), end=end), PIECES)
