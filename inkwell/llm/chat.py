@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import releasing
 from .encoding import as_ids, encoder, token_bytes, tokenizer_path
 from .store import parallelism
 
@@ -67,6 +68,7 @@ def parse(ids: np.ndarray, mask: np.ndarray, path: str) -> tuple[list[tuple[str,
     return turns, [text(ids[a:b]) for a, b in edges.reshape(-1, 2).tolist()]
 
 
+@releasing
 def _format(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     now, turns, rows = None, [], []
     size = 0
@@ -110,6 +112,7 @@ def format_chats(conversations: DataFrame, path: str | None = None) -> DataFrame
     return rows.mapInArrow(partial(_format, path=path or tokenizer_path()), FORMATTED)
 
 
+@releasing
 def _parse(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):

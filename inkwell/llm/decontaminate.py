@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import fresh, materialize
 
 WINDOW = 13
 #: What parts words, before A-Z are lower-cased.
@@ -100,7 +100,9 @@ def mark(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The rows of docs that mark finds clean, with all their columns."""
-    bad = materialize(mark(docs, items, size).where("contaminated").select(F.col("doc_id").alias("d_"), F.col("row").alias("r_")).distinct(), "contaminated")
+    """The rows of docs that mark finds clean, with all their columns, whatever the names of further ones."""
+    d, r = fresh(docs, "d_"), fresh(docs, "r_")
+    bad = materialize(mark(docs, items, size).where("contaminated").select(F.col("doc_id").alias(d), F.col("row").alias(r)).distinct(), "contaminated")
     small = bad.count() * 64 <= BROADCAST
-    return docs.join(F.broadcast(bad) if small else bad, (F.col("doc_id").cast("long").eqNullSafe(F.col("d_"))) & (F.xxhash64(F.col("text").cast("string")) == F.col("r_")), "left_anti")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.xxhash64(F.col("text").cast("string")) == F.col(r))
+    return docs.join(F.broadcast(bad) if small else bad, same, "left_anti")

@@ -37,5 +37,18 @@ def spread_by_doc(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def column_of(docs: DataFrame, name: str) -> str:
+    """A column's name as docs has it, which may differ in case."""
+    return next((c for c in docs.columns if c == name), None) or next(c for c in docs.columns if c.lower() == name)
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """name, with as many marks behind it as it takes for docs to have no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
