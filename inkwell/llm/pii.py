@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .arrays import slices
-from .store import spread_by_doc
+from .arrays import releasing, slices
+from .store import column_of, spread_by_doc
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "account", "iban", "secret", "url")
@@ -19,8 +19,9 @@ KINDS = (*BASE_KINDS, "account", "iban", "secret", "url")
 CUES = {
     "account": ("account", "acct", "konto", "cuenta", "compte", "ssn", "passport"),
     "iban": ("iban",),
-    "secret": ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "api-key", "akia"),
+    "secret": ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "api-key"),
 }
+_SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
@@ -28,10 +29,20 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"://[^\s\"'<>|\\^`{}]+")
 _WWW = re.compile(r"www\.[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?:[/?#][^\s\"'<>|\\^`{}]*)?")
-_ACCOUNT = re.compile(r"(?:[ _-]?(?:number|nummer|no|nr|id))?\.?[ ]?[:=#]?[ ]?(?=[A-Z0-9-]*[0-9])([A-Z]{0,4}[0-9][0-9-]{4,30}[0-9])(?![A-Za-z0-9])", re.I)
+_ACCOUNT = re.compile(r"(?:[ _-]?(?:number|nummer|no|nr|id))?\.?[ ]?[:=#]?[ ]?([A-Z]{0,4}[0-9](?:-?[0-9]){5,})(?![A-Za-z0-9])", re.I)
 _IBAN = re.compile(r"[ ]?[:=#]?[ ]?([A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
-_ASSIGNED = re.compile(r"[\"']?[ ]{0,2}[:=][ ]{0,2}[\"']?([^\s\"',;]{6,512})")
-_AKIA = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
+_ASSIGNED = re.compile(r"[\"']?[ ]{0,2}[:=][ ]{0,2}[\"']?([^\s\"',;]{6,})")
+#: How secrets that announce themselves begin (in lower case), and what they look like.
+TOKENS = {
+    "akia": r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
+    **{f"gh{k}_": rf"gh{k}_[A-Za-z0-9]{{16,}}" for k in "pousr"},
+    "github_pat_": r"github_pat_[A-Za-z0-9_]{16,}",
+    "sk-": r"(?<![A-Za-z0-9])sk-[A-Za-z0-9_-]{16,}",
+    "xox": r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}",
+    "eyj": r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{4,}",
+    "-----begin": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?",
+}
+_TOKENS = {k: re.compile(v) for k, v in TOKENS.items()}
 _ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -45,6 +56,8 @@ def anchors() -> ahocorasick.Automaton:
     for kind, words in CUES.items():
         for word in words:
             found.add_word(word, (kind, len(word)))
+    for word in TOKENS:
+        found.add_word(word, (word, len(word)))
     found.make_automaton()
     return found
 
@@ -113,8 +126,10 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                 take("phone", start, m.end(), 9 <= sum("0" <= c <= "9" for c in m[0]) <= 15)
         elif mark == "://":
             left = start
-            while left > at["url"] and start - left < 12 and ("a" <= low[left - 1] <= "z"):
+            while left > at["url"] and low[left - 1] in _SCHEME:
                 left -= 1
+            while left < start and not "a" <= low[left] <= "z":
+                left += 1
             if left < start and (m := _URL.match(text, start)):
                 end = m.end() - len(m[0]) + len(m[0].rstrip(".,;:!?)]"))
                 if end > start + 3:
@@ -128,14 +143,16 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         elif mark == "iban":
             if (m := _IBAN.match(text, last + 1)) and m.start(1) >= at["iban"]:
                 take("iban", *m.span(1), _iban(m[1]))
-        elif start >= at["secret"]:
-            if m := _AKIA.match(text, start):
+        elif mark in _TOKENS:
+            if start >= at["secret"] and (m := _TOKENS[mark].match(text, start)):
                 take("secret", *m.span())
-            elif (m := _ASSIGNED.match(text, last + 1)) and any(c.isdigit() for c in m[1]):
+        elif start >= at["secret"]:
+            if (m := _ASSIGNED.match(text, last + 1)) and any(c.isdigit() for c in m[1]):
                 take("secret", *m.span(1))
     return [(kind, a, b) for kind in KINDS for a, b in spans.get(kind, ())]
 
 
+@releasing
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch):
@@ -165,14 +182,15 @@ def mask(text: str | None) -> str | None:
     return "".join(out) + text[at:]
 
 
-def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@releasing
+def _mask(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in slices(batch):
-            k = piece.schema.get_field_index("text")
-            texts = pa.array(map(mask, piece.column("text").to_pylist()), piece.schema.field(k).type)
+        for piece in slices(batch, text):
+            k = piece.schema.get_field_index(text)
+            texts = pa.array(map(mask, piece.column(k).to_pylist()), piece.schema.field(k).type)
             yield piece.set_column(k, piece.schema.field(k), texts)
 
 
 def mask_pii(docs: DataFrame) -> DataFrame:
-    """docs with the personal data in text replaced; every row and column stays, null texts stay null."""
-    return docs.mapInArrow(_mask, docs.schema)
+    """docs with the personal data in text replaced; every row and column stays, null texts stay null; names match in any case."""
+    return docs.mapInArrow(partial(_mask, text=column_of(docs, "text")), docs.schema)

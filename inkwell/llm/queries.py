@@ -23,8 +23,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     counts = [count(kind) for kind in pii.BASE_KINDS]
+    further = [count(kind) for kind in pii.KINDS if kind not in pii.BASE_KINDS]
+    private = F.size(F.filter("spans", lambda s: s["kind"] != "url")).cast("long").alias("n_private")
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
-    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), *further, private)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
