@@ -12,20 +12,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U64, Words, mix, releasing, shingle_sets, slices
-from .store import materialize, parallelism, spread_by_doc
+from .store import fresh, materialize, parallelism, spread_by_doc
 
 BANDS, ROWS = 30, 4
 #: Signature values compared at a time, and the posterior chance of a link below which a pair is dropped.
 BATCH, MISS = 24, 1e-6
-#: Documents, and shingles, on a side of a block.
-BLOCK, SHINGLES = 256, 1 << 19
+#: Documents on either side of a block, and shingles on a side.
+BLOCK, WIDE, SHINGLES = 256, 1024, 1 << 19
 #: Ids that are broadcast to pick out texts; more are joined by a shuffle.
 BROADCAST = 500_000
+#: Parts into which each bucket is split where its members meet its pivot.
+SALT = 8
 _N = BANDS * ROWS
 _MULTIPLY = mix(np.arange(1, _N + 1, dtype=U64)) | U64(1)
 _ADD = mix(np.arange(1001, _N + 1001, dtype=U64))
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hi", pa.int64()), ("set_lo", pa.int64()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
-SIGNED = "doc_id long, n_shingles long, set_hi long, set_lo long, signature binary, bands array<bigint>"
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("set_hi", pa.int64()), ("set_lo", pa.int64()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SIGNED = "doc_id long, row long, n_shingles long, set_hi long, set_lo long, signature binary, bands array<bigint>"
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -54,17 +56,22 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _prints(sets: list[np.ndarray]) -> np.ndarray:
+    """128 bits of each set, as two columns."""
+    return np.array([np.frombuffer(hashlib.blake2b(s, digest_size=16).digest(), np.int64) for s in sets]).reshape(-1, 2)
+
+
 @releasing
 def _sign(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch):
             sets = shingle_sets(Words(piece.column("text"), lower=True), n)
             signature = signatures(sets)
-            prints = np.array([np.frombuffer(hashlib.blake2b(s, digest_size=16).digest(), np.int64) for s in sets]).reshape(-1, 2)
+            prints = _prints(sets)
             size = np.array([len(s) for s in sets], dtype=np.int64)
             short = np.ascontiguousarray((signature & 0xFFFF).astype(np.uint16))
             bands = pa.ListArray.from_arrays(np.arange(0, len(sets) * BANDS + 1, BANDS, dtype=np.int32), band_keys(signature).reshape(-1))
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(size), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()), pa.array([r.tobytes() for r in short], pa.binary()), bands], schema=_SIGNED)
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("row"), pa.array(size), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()), pa.array([r.tobytes() for r in short], pa.binary()), bands], schema=_SIGNED)
 
 
 def least_matches(threshold: float, miss: float = MISS) -> np.ndarray:
@@ -151,12 +158,12 @@ def _pairs(nodes: np.ndarray, forest: Forest) -> pa.RecordBatch:
 
 @releasing
 def _compare(batches: Iterator[pa.RecordBatch], least: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """In each part of a bucket a forest of the likely pairs of a fresh member (left) and any other of another label."""
-    for table in groups(batches, ["band", "chunk"]):
-        nodes, labels = (table.column(c).to_numpy() for c in ("node", "label"))
-        signs, forest = _signs(table.column("signature").combine_chunks()), Forest(len(nodes))
-        for x in np.flatnonzero(table.column("left").to_numpy()).tolist():
-            others = np.flatnonzero(labels != labels[x])
+    """In each block of a bucket a forest of the likely pairs of a member of its left side and one of another label on its right."""
+    for table in groups(batches, ["band", "i", "j"]):
+        nodes, labels, left = (table.column(c).to_numpy() for c in ("node", "label", "left"))
+        signs, forest, right = _signs(table.column("signature").combine_chunks()), Forest(len(nodes)), np.flatnonzero(~left)
+        for x in np.flatnonzero(left).tolist():
+            others = right[labels[right] != labels[x]]
             others = others[(signs[others, :BATCH] == signs[x, :BATCH]).sum(axis=1) >= least[0]]
             for y in others[likely(np.broadcast_to(signs[x], (len(others), _N)), signs[others], least)].tolist():
                 forest.add(x, y)
@@ -169,14 +176,15 @@ def _set_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for piece in slices(batch):
             sets = shingle_sets(Words(piece.column("text"), lower=True), n)
-            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("label", "i", "j", "doc_id")), pa.array([s.tobytes() for s in sets], pa.binary())], names=["label", "i", "j", "node", "shingles"])
+            prints = _prints(sets)
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["least", "set_hi", "set_lo", "shingles"])
 
 
 @releasing
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """In each group of full sets a forest of the exact links, found over an inverted list of shingles."""
+    """In each block of full sets a forest of the exact links of its left side, found over an inverted list of shingles."""
     for table in groups(batches, ["label", "i", "j"]):
-        nodes = table.column("node").to_numpy()
+        nodes, subs, left = (table.column(c).to_numpy() for c in ("node", "sub", "left"))
         sets = [np.frombuffer(b, U64) for b in table.column("shingles").to_pylist()]
         size = np.array([len(s) for s in sets])
         flat = np.concatenate(sets)
@@ -185,14 +193,13 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         order = np.argsort(number, kind="stable")
         posting, first = owner[order], np.searchsorted(number[order], np.arange(number.max(initial=-1) + 2))
         ends, forest = np.cumsum(size), Forest(len(sets))
-        for x in range(len(sets)):
+        for x in np.flatnonzero(left).tolist():
             own = number[ends[x] - size[x] : ends[x]]
             at, n = first[own], first[own + 1] - first[own]
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             both = np.bincount(posting[np.repeat(at, n) + step], minlength=len(sets))
-            for y in np.flatnonzero(100 * both >= percent * (size[x] + size - both)).tolist():
-                if y > x and both[y]:
-                    forest.add(x, y)
+            for y in np.flatnonzero((100 * both >= percent * (size[x] + size - both)) & (both > 0) & (subs != subs[x])).tolist():
+                forest.add(x, y)
         if forest.kept:
             yield _pairs(nodes, forest)
 
@@ -219,70 +226,150 @@ def components(edges: DataFrame) -> DataFrame:
         now = after
 
 
-def link_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of docs.
+def _spread(rows: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """Blocks of a left and a right side: the left rows once for each right block, all rows on the right once for each left block.
 
-    Words are what lies between ASCII white space, A-Z lower-cased; a document's set holds its distinct shingles of
-    so many words. Two documents are linked if their sets' intersection is at least percent hundredths of the union;
-    component_id is the least doc_id reachable. A shorter text is one shingle; null and empty texts have none and stand
-    alone. Rows with the same set form one class that takes part once. Rows that share a doc_id are placed each by
-    its own text; a null doc_id with words takes no part in links and stands alone; further columns are ignored.
+    counts: for each key the numbers of left and right blocks, n_left and n_right.
+    """
+    rows = rows.join(counts, key)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    left = rows.where("left").withColumn("i", own("n_left")).withColumn("j", each("n_right"))
+    right = rows.withColumn("left", F.lit(False)).withColumn("j", own("n_right")).withColumn("i", each("n_left"))
+    return left.unionByName(right).drop("n_left", "n_right").withColumns({c: F.col(c).cast("long") for c in "ij"})
 
-    Links come in three steps, none of which emits the pairs of a group. Each band's bucket compares its members with
-    one pivot by signatures. Buckets that then hold several components compare in blocks what is apart from the
-    pivot. Components of likely pairs are checked in blocks on full sets; each block returns a forest of its links.
+
+def _checked(cells: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
+    """The exact links (a, b) found in blocks (label, i, j) of rows (node, sub, left)."""
+    rows = cells.join(sets, "node").select("label", "i", "j", "node", "sub", "left", "shingles")
+    rows = rows.repartition(parts, "label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
+    return materialize(rows.mapInArrow(partial(_confirm, percent=percent), "a long, b long"), "links")
+
+
+def _blocks(n, size, wide: int):
+    """How many blocks hold n documents with size shingles."""
+    return F.greatest(F.lit(1), F.ceil(n / wide), F.ceil(size / SHINGLES)).cast("int")
+
+
+def _exact_links(labels: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Links (a, b) whose components are those of all links within the components of likely pairs (node, label, size).
+
+    First each block of a component by itself, then the heads of what these found between blocks, and at last what is
+    still apart from the component's own head against all others. Small components need the first step only.
     """
-    table = spread_by_doc(docs)
+    width = labels.groupBy("label").agg(_blocks(F.count("*"), F.sum("size"), BLOCK).alias("n"))
+    rows = materialize(labels.join(width, "label").withColumn("i", F.pmod(F.xxhash64("node"), F.col("n")).cast("long")), "likely")
+    plain = lambda df: df.withColumn("j", F.col("i")).withColumn("sub", F.col("node")).withColumn("left", F.lit(True))
+    links = _checked(plain(rows), sets, percent, parts)
+    wide = rows.where("n > 1").drop("n", "i")
+    if wide.isEmpty():
+        return links
+    for last in (False, True):
+        found = components(links).withColumnRenamed("label", "sub")
+        now = wide.join(found, "node", "left").withColumn("sub", F.coalesce("sub", "node"))
+        if last:
+            home = now.where("node = label").select("label", F.col("sub").alias("home"))
+            now = now.join(home, "label").withColumn("left", F.expr("sub <> home")).drop("home")
+        else:
+            now = now.where("node = sub").withColumn("left", F.lit(True))
+        on_left = F.count_if("left"), F.sum(F.when(F.col("left"), F.col("size")).otherwise(0))
+        counts = now.groupBy("label").agg(F.count_if("left").alias("apart"), F.count_distinct("sub").alias("subs"), _blocks(*on_left, BLOCK).alias("n_left"), _blocks(F.count("*"), F.sum("size"), WIDE).alias("n_right"))
+        counts = counts.where("apart > 0 and subs > 1").select("label", "n_left", "n_right")
+        links = materialize(links.unionByName(_checked(_spread(now, "label", counts), sets, percent, parts)), "links")
+    return links
+
+
+def _link(docs: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
+    """doc_id, row (a hash of the text), n_shingles and component_id of each row; see link_documents."""
+    table = spread_by_doc(docs).withColumn("row", F.xxhash64("text"))
     parts = parallelism(table.sparkSession)
     signed = materialize(table.mapInArrow(partial(_sign, n=words), SIGNED), "signed")
     some = signed.where("n_shingles > 0 and doc_id is not null")
     keys = ["set_hi", "set_lo"]
-    classes = some.groupBy(*keys).agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("signature", "bands", "n_shingles")))
+    classes = some.groupBy(*keys).agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("signature", "bands", "n_shingles")))
     classes = materialize(classes, "classes")
+    # a class is named by its least doc_id; where classes share that, all but one get a name of their own
+    twice = classes.groupBy("least").agg(F.count("*").alias("n"), F.min("set_hi").alias("first_")).where("n > 1").select("least", "first_")
+    shared = not twice.isEmpty()
+    if shared:
+        other = F.coalesce(F.col("set_hi") != F.col("first_"), F.lit(False))
+        classes = materialize(classes.join(twice, "least", "left").withColumn("node", F.when(other, F.xxhash64("least", *keys)).otherwise(F.col("least"))).drop("first_"), "classes")
+    else:
+        classes = classes.withColumn("node", F.col("least"))
     signs = classes.select("node", "signature")
-    member = classes.select("node", F.explode("bands").alias("band"))
-    pivots = member.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("hi")).where("pivot < hi").select("band", "pivot")
-    member = materialize(member.join(pivots, "band"), "members")
-    least = least_matches(percent / 100)
-    # each member against its bucket's pivot
+    # each bucket's pivot is its least node; buckets are split where they meet it
+    member = classes.select("node", F.explode("bands").alias("band")).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALT)))
+    salted = member.groupBy("band", "salt").agg(F.min("node").alias("pivot"), F.max("node").alias("hi"))
+    pivots = salted.groupBy("band").agg(F.min("pivot").alias("pivot"), F.max("hi").alias("hi")).where("pivot < hi").select("band", "pivot")
+    split = lambda t: t.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
+    member = materialize(member.join(split(pivots), ["band", "salt"]), "members")
+    least = least_matches(percent / 100, miss)
     pairs = member.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     pairs = pairs.join(signs.select(F.col("node").alias("b"), F.col("signature").alias("sig_b")), "b").join(signs.select(F.col("node").alias("a"), F.col("signature").alias("sig_a")), "a")
     stars = materialize(pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(partial(_prune, least=least), "a long, b long"), "stars")
     labels = components(stars)
-    named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # what is apart from the pivot against the whole bucket, in blocks
+    named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_pivot = named.where("node = pivot").select("band", F.col("label").alias("home"))
-    named = materialize(named.select("band", "node", "label").join(of_pivot, "band").withColumn("left", F.expr("label != home")), "named")
-    apart = named.where("left").groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    rows = named.join(apart, "band").join(signs, "node")
-    chunk = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    rows = rows.withColumn("chunk", chunk).withColumn("left", F.col("left") & (F.pmod(F.xxhash64("node"), F.col("n")) == F.col("chunk")))
-    rows = rows.select("band", F.col("chunk").cast("long").alias("chunk"), "node", "label", "left", "signature")
-    rows = rows.repartition(parts, "band", "chunk").sortWithinPartitions("band", "chunk", "node")
+    named = named.select("band", "salt", "node", "label").join(split(of_pivot), ["band", "salt"]).withColumn("left", F.expr("label != home"))
+    named = materialize(named.select("band", "node", "label", "left"), "named")
+    counts = named.groupBy("band").agg(F.count_if("left").alias("apart"), F.ceil(F.count_if("left") / BLOCK).cast("int").alias("n_left"), F.ceil(F.count("*") / WIDE).cast("int").alias("n_right"))
+    counts = counts.where("apart > 0").drop("apart")
+    rows = _spread(named, "band", counts).join(signs, "node").select("band", "i", "j", "node", "label", "left", "signature")
+    rows = rows.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
     more = materialize(rows.mapInArrow(partial(_compare, least=least), "a long, b long").distinct(), "compared")
     labels = components(stars.unionByName(more))
-    # components of likely pairs on full sets, in blocks
+    # components of likely pairs on full sets; each set is built once
     heads = labels.select("label", F.col("label").alias("node")).distinct()
-    labels = labels.select("label", "node").unionByName(heads).join(classes.groupBy("node").agg(F.max("n_shingles").alias("size")), "node")
-    width = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / SHINGLES)).cast("int").alias("n")
-    labels = labels.join(labels.groupBy("label").agg(width), "label").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
-    cells = labels.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    cells = materialize(cells.select("node", "label", F.least("own", "other").cast("long").alias("i"), F.greatest("own", "other").cast("long").alias("j")), "cells")
-    nodes = cells.select(F.col("node").alias("doc_id")).distinct()
-    nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST else nodes
-    texts = table.join(nodes, "doc_id", "left_semi").join(cells.withColumnRenamed("node", "doc_id"), "doc_id")
-    sets = texts.select("label", "i", "j", "doc_id", "text").repartition(parts, "label", "i", "j").sortWithinPartitions("label", "i", "j", "doc_id")
-    sets = sets.mapInArrow(partial(_set_rows, n=words), "label long, i long, j long, node long, shingles binary")
-    links = sets.mapInArrow(partial(_confirm, percent=percent), "a long, b long")
-    labels = components(links)
-    placed = classes.select(*keys, "node").join(labels, "node", "left").select(*keys, F.coalesce("label", "node").alias("component_id"))
-    linked = some.select("doc_id", "n_shingles", *keys).join(placed, keys, "left").select("doc_id", "n_shingles", "component_id")
-    alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = linked.unionByName(alone)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    labels = materialize(labels.select("label", "node").unionByName(heads).join(classes.select("node", "least", *keys, F.col("n_shingles").alias("size")), "node"), "likely")
+    ids = labels.select(F.col("least").alias("doc_id")).distinct()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST else ids
+    sets = table.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(partial(_set_rows, n=words), "least long, set_hi long, set_lo long, shingles binary")
+    sets = labels.select("node", "least", *keys).join(sets, ["least", *keys])
+    sets = materialize(sets.select("node", "shingles"), "sets")
+    sets = materialize(sets.dropDuplicates(["node"]), "sets") if sets.count() > labels.count() else sets  # rows that repeat a doc_id and text
+    labels = components(_exact_links(labels.select("node", "label", "size"), sets, percent, parts))
+    placed = classes.select(*keys, "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    if shared:
+        first = placed.groupBy("label").agg(F.min("least").alias("component_id"))
+        placed = placed.join(first, "label").select(*keys, "component_id")
+    else:
+        placed = placed.select(*keys, F.col("label").alias("component_id"))
+    linked = some.select("doc_id", "row", "n_shingles", *keys).join(placed, keys, "left").drop(*keys)
+    alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def link_documents(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of docs.
+
+    Words are what lies between ASCII white space, A-Z lower-cased; a document's set holds its distinct shingles of
+    so many words. Two documents are linked if their sets' intersection is at least percent hundredths of the union;
+    component_id is the least doc_id reachable. A shorter text is one shingle; null and empty texts have none and stand
+    alone. Rows with the same set form one class that takes part once. Rows that share a doc_id are placed each by
+    its own text; a null doc_id with words takes no part in links and stands alone; further columns are ignored.
+    miss is the posterior chance of a link below which signatures drop a pair.
+
+    Links come in three steps, none of which emits the pairs of a group. Each band's bucket compares its members with
+    one pivot by signatures. Buckets that then hold several components compare in blocks what is apart from the
+    pivot. Components of likely pairs are checked in blocks on full sets; each block returns a forest of its links.
+    """
+    return _link(docs, words, percent, miss).drop("row")
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs whose doc_id is the least of its component, with all their columns; of rows that repeat such a doc_id all stay."""
-    gone = link_documents(docs, words, percent).where("not kept").select(F.col("doc_id").alias("gone_")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_"), "left_anti")
+    """One row of docs for each component, with all its columns, whatever the names of further ones.
+
+    It is a row whose doc_id is the least of its component; of rows that repeat such a doc_id and text one stays.
+    Null and empty texts all stay.
+    """
+    linked = materialize(_link(docs, words, percent, MISS), "linked")
+    d, r = fresh(docs, "gone_"), fresh(docs, "text_")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.xxhash64(F.col("text").cast("string")) == F.col(r))
+    named = lambda t: t.select(F.col("doc_id").alias(d), F.col("row").alias(r)).distinct()
+    out = docs.join(named(linked.where("not kept")), same, "left_anti")
+    again = linked.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id", "row").count().where("count > 1")
+    if again.isEmpty():
+        return out
+    again = named(again)
+    return out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
