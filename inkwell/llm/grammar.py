@@ -11,60 +11,95 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import slices
-from .encoding import as_ids, encoder, tokenizer_path
+from .arrays import releasing, slices
+from .encoding import encoder, ragged, tokenizer_path
 from .store import parallelism, spread_by_doc
 
 END = 0
 #: Ids of a shard, at least (a shard holds whole documents).
 SHARD = 1 << 20
-#: Passes over a shard, pairs replaced in each at most, and how often such a pair occurs at least.
-ROUNDS, PAIRS, LEAST = 4, 4096, 8
+#: Pairs replaced in one pass over a shard at most (others wait for the next), and how often a pair occurs at least.
+PAIRS, LEAST = 8192, 8
 _BITS = 20
 SHARDS = "part int, shard int, n_ids long, first_rule int, rule_counts array<int>, rules binary, rule_lengths binary, doc_ids array<bigint>, doc_symbols array<int>, doc_n_ids array<bigint>, symbols binary"
 _SHARDS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_ids", pa.int64()), ("first_rule", pa.int32()), ("rule_counts", pa.list_(pa.int32())), ("rules", pa.binary()), ("rule_lengths", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("doc_symbols", pa.list_(pa.int32())), ("doc_n_ids", pa.list_(pa.int64())), ("symbols", pa.binary())])
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def _frequent(s: np.ndarray, spans: np.ndarray, least: int, pairs: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first occurrences, places): one pair for each of the most frequent slots of a hashed count, and where a pair of those slots stands.
+
+    The hash changes from turn to turn, so that pairs which shared a slot part.
+    """
+    left, right = np.uint32(0x9E3779B1 + 2 * turn & 0xFFFFFFFF), np.uint32(0x85EBCA77 + 6 * turn & 0xFFFFFFFF)
+    slot = (((s[:-1] * left) ^ (s[1:] * right)) >> np.uint32(32 - _BITS)).astype(np.int32)
+    slot[spans] = 1 << _BITS
+    count = np.bincount(slot, minlength=(1 << _BITS) + 1)[:-1]
+    often = np.flatnonzero(count >= least)
+    if len(often) > pairs:
+        some = count[often]
+        often = often[some >= np.partition(some, -pairs)[-pairs]][:pairs]
+    number = np.zeros((1 << _BITS) + 1, dtype=bool)
+    number[often] = True
+    at = np.flatnonzero(number[slot])
+    first = np.empty((1 << _BITS) + 1, dtype=np.int64)
+    first[slot[at[::-1]]] = at[::-1]
+    return first[often], at
+
+
+def _exact(s: np.ndarray, spans: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """As _frequent, by a count of all pairs: the most frequent ones of which none can overlap another."""
+    key = s[:-1].astype(np.uint64) << np.uint64(32) | s[1:]
+    key[spans] = np.iinfo(np.uint64).max
+    order = np.argsort(key, kind="stable")
+    cuts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    n = np.diff(np.append(cuts, len(key)))
+    good = np.flatnonzero((n >= least) & (key[order[cuts]] != np.iinfo(np.uint64).max))
+    good = good[np.argsort(-n[good], kind="stable")]
+    lefts, rights, chosen = set(), set(), []
+    for k, x, y in zip(good.tolist(), s[order[cuts[good]]].tolist(), s[order[cuts[good]] + 1].tolist(), strict=True):
+        if x not in rights and y not in lefts and x != y:
+            chosen.append(k)
+            lefts.add(x)
+            rights.add(y)
+    chosen = np.array(chosen, dtype=np.int64) if chosen else good  # pairs of equal symbols overlap themselves alone
+    return order[cuts[chosen]], np.sort(order[ragged(cuts[chosen], n[chosen])])
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | None = None, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """(symbols, ends in symbols, rules of each round) for a run of documents that end before each of ends.
 
     Each round counts the pairs of neighbours, takes the most frequent, gives each a nonterminal and replaces their
-    occurrences from the left; of overlapping ones every second stays. No pair spans two documents.
+    occurrences from the left; of overlapping ones every second stays. No pair spans two documents. It ends when an
+    exact count finds no pair least times (apart from overlapping occurrences), or after rounds if they are given.
     """
     s, ends, rules, base = ids.astype(np.uint32), ends.astype(np.int64), [], first_rule
-    number = np.full((1 << _BITS) + 1, -1, dtype=np.int32)
-    for _ in range(rounds):
-        if len(s) < 2:
-            break
-        slot = (((s[:-1] * np.uint32(0x9E3779B1)) ^ (s[1:] * np.uint32(0x85EBCA77))) >> np.uint32(32 - _BITS)).astype(np.intp)
-        slot[ends[ends <= len(slot)] - 1] = 1 << _BITS  # pairs that span documents
-        count = np.bincount(slot, minlength=(1 << _BITS) + 1)[:-1]
-        often = np.flatnonzero(count >= least)
-        if len(often) > pairs:
-            some = count[often]
-            often = often[some >= np.partition(some, -pairs)[-pairs]][:pairs]
-        if not len(often):
-            break
-        number[often] = np.arange(len(often), dtype=np.int32)
-        which = number[slot]
-        number[often] = -1
-        at = np.flatnonzero(which >= 0)
-        which, left, right = which[at], s[at], s[at + 1]
-        chosen = np.zeros((len(often), 2), dtype=np.uint32)
-        chosen[which[::-1], 0], chosen[which[::-1], 1] = left[::-1], right[::-1]  # a slot's first pair; others that share the slot wait
-        own = (left == chosen[which, 0]) & (right == chosen[which, 1])
-        at, which = at[own], which[own]
+    exact, turn = False, 0
+    while len(s) > 1 and (rounds is None or turn < rounds):
+        spans = ends[ends < len(s)] - 1
+        heads, at = _exact(s, spans, least) if exact else _frequent(s, spans, least, pairs, turn)
+        key = s[heads].astype(np.uint64) << np.uint64(32) | s[heads + 1]
+        order = np.argsort(key)
+        key = key[order]
+        own = s[at].astype(np.uint64) << np.uint64(32) | s[at + 1]
+        which = np.minimum(np.searchsorted(key, own), max(0, len(key) - 1))
+        hit = key[which] == own if len(key) else np.zeros(0, dtype=bool)
+        at, which = at[hit], which[hit]
         follows = np.zeros(len(at), dtype=bool)
         follows[1:] = at[1:] == at[:-1] + 1
         if follows.any():
             run = np.maximum.accumulate(np.where(follows, 0, np.arange(len(at))))
             free = (np.arange(len(at)) - run) % 2 == 0
             at, which = at[free], which[free]
-        uses = np.bincount(which, minlength=len(often))
+        uses = np.bincount(which, minlength=len(key))
         used = np.flatnonzero(uses >= least)
+        turn += 1
         if not len(used):
-            break
-        renumber = np.full(len(often), -1, dtype=np.int64)
+            if exact:
+                break
+            exact = True
+            continue
+        exact = False
+        renumber = np.full(len(key), -1, dtype=np.int64)
         renumber[used] = np.arange(len(used))
         which = renumber[which]
         at, which = at[which >= 0], which[which >= 0]
@@ -73,7 +108,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = R
         stays[at + 1] = False
         ends = ends - np.searchsorted(at + 1, ends)
         s = s[stays]
-        rules.append(chosen[used])
+        rules.append(np.stack([key[used] >> np.uint64(32), key[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         base += len(used)
     return s, ends, rules
 
@@ -115,32 +150,31 @@ def _wide(packed: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u4")
 
 
+@releasing
 def _write(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
     part, shard = TaskContext.get().partitionId(), 0
     first_rule = encoder(path).tokenizer.get_vocab_size()
-    closing = end.to_bytes(4, "little")
-    doc_ids: list[int] = []
-    packed: list[bytes] = []
-    held = 0
+    held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+    n_held = 0
 
     def flush() -> pa.RecordBatch:
-        nonlocal doc_ids, packed, held, shard
-        n = np.array([len(b) // 4 for b in packed], dtype=np.int64)
-        symbols, ends, rules = compress(as_ids(b"".join(packed)), np.cumsum(n), first_rule)
+        nonlocal held, n_held, shard
+        doc_ids = pa.concat_arrays([d for d, _, _ in held])
+        n = np.concatenate([np.diff(bounds) for _, _, bounds in held])
+        symbols, ends, rules = compress(np.concatenate([ids for _, ids, _ in held]), np.cumsum(n), first_rule)
         flat = np.concatenate([*rules, np.zeros((0, 2), np.uint32)]).astype("<u4")
-        row = (part, shard, int(n.sum()), first_rule, [len(r) for r in rules], flat.tobytes(), rule_lengths(rules, first_rule).astype("<u4").tobytes(), doc_ids, np.diff(ends, prepend=0).tolist(), n.tolist(), _narrow(symbols))
-        doc_ids, packed, held, shard = [], [], 0, shard + 1
+        row = (part, shard, int(n.sum()), first_rule, [len(r) for r in rules], flat.tobytes(), rule_lengths(rules, first_rule).astype("<u4").tobytes(), doc_ids.to_pylist(), np.diff(ends, prepend=0).tolist(), n.tolist(), _narrow(symbols))
+        held, n_held, shard = [], 0, shard + 1
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _SHARDS.types, strict=True)], schema=_SHARDS)
 
     for batch in batches:
-        for piece in slices(batch, limit=1 << 22):
-            doc_ids += piece.column("doc_id").to_pylist()
-            new = [b + closing for b in encoder(path).encode(piece.column("text"))]
-            packed += new
-            held += sum(map(len, new)) // 4
-            if held >= SHARD:
+        for piece in slices(batch):
+            ids, bounds = encoder(path).flat(piece.column("text"), end)
+            held.append((piece.column("doc_id"), ids, bounds))
+            n_held += len(ids)
+            if n_held >= SHARD:
                 yield flush()
-    if packed:
+    if held:
         yield flush()
 
 
@@ -156,6 +190,7 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end: int =
     table.mapInArrow(partial(_write, path=path or tokenizer_path(), end=end), SHARDS).write.parquet(folder)
 
 
+@releasing
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():

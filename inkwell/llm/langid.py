@@ -1,7 +1,7 @@
 """Language identification by a bidirectional gated recurrent network over bytes, trained here in numpy.
 
-The network reads a text word by word: its state starts anew at each word, so equal words are read once a batch. It
-labels every byte; a document's probabilities are the means over its bytes.
+The network reads whole texts, across words: in windows of READ bytes, each with MARGIN bytes on either side that only
+bring its states up. It labels every byte; a document's probabilities are the means over the bytes of its letters.
 """
 
 from __future__ import annotations
@@ -12,180 +12,199 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import slices, sums, utf8
-from .sampling import crc32_mod
+from .arrays import releasing, slices, sums, utf8
+from .sampling import in_fold
 from .store import spread_by_doc
 
-#: Training documents of each language, and words taken from each, at most.
-SAMPLE, SAMPLE_WORDS = 400, 150
-#: States a direction, bytes read at a time (longer words are cut), words a batch, training steps and rate.
-HIDDEN, REACH, BATCH, STEPS, RATE = 16, 24, 256, 500, 0.01
+#: Training documents of each language at most; windows taken from each, evenly over its text, and their bytes.
+SAMPLE, WINDOWS, LEARN = 400, 8, 64
+#: Bytes read by a window, and on either side of it.
+READ, MARGIN = 160, 16
+#: States a direction, windows a training step, steps and rate.
+HIDDEN, BATCH, STEPS, RATE = 16, 192, 300, 0.015
+#: Windows read together.
+LANES = 1024
 _LETTER = r"\p{L}"
-_WIDE = 8192
+#: Bytes of ASCII letters and of longer characters.
+_SPELLS = np.zeros(256, dtype=bool)
+_SPELLS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 Params = dict[str, np.ndarray]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    np.tanh(np.multiply(x, 0.5, out=x), out=x)
+    x += 1
+    x *= 0.5
+    return x
 
 
-def run_gru(p: Params, side: str, bytes_: np.ndarray, real: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
-    """States after each byte (time, word, HIDDEN) of one direction; padding leaves a state as it is."""
+def run_gru(p: Params, side: str, bytes_: np.ndarray, real: np.ndarray | None, keep: bool = False) -> tuple[np.ndarray, list]:
+    """States after each byte (time, HIDDEN, window) of one direction; padding (not real) leaves a state as it is."""
     steps, n = bytes_.shape
     table, u = p["e" + side], p["u" + side]
-    h = np.zeros((n, HIDDEN), dtype=table.dtype)
-    out, saved = np.zeros((steps, n, HIDDEN), dtype=table.dtype), []
+    h = np.zeros((HIDDEN, n), dtype=table.dtype)
+    out, saved = np.zeros((steps, HIDDEN, n), dtype=table.dtype), []
     for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
-        x, y = table[bytes_[t]], h @ u
-        zr = _sigmoid(x[:, : 2 * HIDDEN] + y[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        c = np.tanh(x[:, 2 * HIDDEN :] + r * y[:, 2 * HIDDEN :])
-        m = real[t][:, None]
-        new = np.where(m, (1 - z) * c + z * h, h)
+        x, y = table.take(bytes_[t], axis=1), u @ h
+        x[: 2 * HIDDEN] += y[: 2 * HIDDEN]
+        zr = _sigmoid(x[: 2 * HIDDEN])
+        z, r = zr[:HIDDEN], zr[HIDDEN:]
+        yc = y[2 * HIDDEN :]
+        c = x[2 * HIDDEN :]
+        c += r * yc
+        np.tanh(c, out=c)
+        new = c + z * (h - c)
+        if real is not None and not real[t].all():
+            new = np.where(real[t], new, h)
         if keep:
-            saved.append((t, h, z, r, c, y[:, 2 * HIDDEN :], m))
+            saved.append((t, h, z, r, c, yc))
         h = out[t] = new
     return out, saved
 
 
-def _back(p: Params, side: str, bytes_: np.ndarray, saved: list, d_out: np.ndarray, grad: Params) -> None:
+def _back(p: Params, side: str, bytes_: np.ndarray, real: np.ndarray, saved: list, d_out: np.ndarray, grad: Params) -> None:
     """Backpropagation through time of one direction."""
     u, d_h = p["u" + side], np.zeros_like(d_out[0])
-    for t, h, z, r, c, yc, m in reversed(saved):
+    for t, h, z, r, c, yc in reversed(saved):
         d = d_h + d_out[t]
-        d_new = np.where(m, d, 0)
+        d_new = np.where(real[t], d, 0)
         d_c = d_new * (1 - z) * (1 - c * c)
         d_z = d_new * (h - c) * z * (1 - z)
         d_r = d_c * yc * r * (1 - r)
-        d_x = np.concatenate([d_z, d_r, d_c], axis=1)
-        d_y = np.concatenate([d_z, d_r, d_c * r], axis=1)
-        np.add.at(grad["e" + side], bytes_[t], d_x)
-        grad["u" + side] += h.T @ d_y
-        d_h = np.where(m, d_new * z + d_y @ u.T, d)
+        d_x = np.concatenate([d_z, d_r, d_c])
+        d_y = np.concatenate([d_z, d_r, d_c * r])
+        hot = np.zeros((256, bytes_.shape[1]), dtype=d_x.dtype)
+        hot[bytes_[t], np.arange(bytes_.shape[1])] = 1
+        grad["e" + side] += d_x @ hot.T
+        grad["u" + side] += d_y @ h.T
+        d_h = np.where(real[t], d_new * z + u.T @ d_y, d)
 
 
-def train(words: list[bytes], langs: np.ndarray, n_langs: int, seed: int = 7) -> Params:
-    """Parameters from words and the number of each one's language."""
+def train(windows: list[bytes], langs: np.ndarray, n_langs: int, seed: int = 7) -> Params:
+    """Parameters from stretches of text and the number of each one's language."""
     rng = np.random.default_rng(seed)
-    p: Params = {f"e{s}": rng.normal(0, 0.3, (256, 3 * HIDDEN)) for s in "fb"} | {f"u{s}": rng.normal(0, 0.25, (HIDDEN, 3 * HIDDEN)) for s in "fb"}
-    p |= {"v": rng.normal(0, 0.2, (2 * HIDDEN, n_langs)), "c": np.zeros(n_langs)}
+    p: Params = {f"e{s}": rng.normal(0, 0.3, (3 * HIDDEN, 256)) for s in "fb"} | {f"u{s}": rng.normal(0, 0.25, (3 * HIDDEN, HIDDEN)) for s in "fb"}
+    p |= {"v": rng.normal(0, 0.2, (n_langs, 2 * HIDDEN)), "c": np.zeros((n_langs, 1))}
+    p = {k: v.astype(np.float32) for k, v in p.items()}
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     by_lang = [np.flatnonzero(langs == k) for k in range(n_langs)]
     for step in range(1, STEPS + 1):
         own = np.concatenate([rng.choice(ids, -(-BATCH // n_langs)) for ids in by_lang])
-        bytes_, real = pad([words[i][:REACH] for i in own])
+        bytes_, real = pad([windows[i] for i in own])
         f, saved_f = run_gru(p, "f", bytes_, real, True)
         b, saved_b = run_gru(p, "b", bytes_, real, True)
-        both = np.concatenate([f, b], axis=2)
-        prob = softmax(both @ p["v"] + p["c"])
-        d = prob
-        d[:, np.arange(len(own)), langs[own]] -= 1
-        d *= real[:, :, None] / real.sum()
+        both = np.concatenate([f, b], axis=1)
+        d = label(p, both)
+        d[:, langs[own], np.arange(len(own))] -= 1
+        d *= (real / real.sum())[:, None, :].astype(d.dtype)
         grad = {k: np.zeros_like(v) for k, v in p.items()}
-        grad["v"], grad["c"] = np.einsum("tnh,tnk->hk", both, d), d.sum(axis=(0, 1))
-        d_both = d @ p["v"].T
-        _back(p, "f", bytes_, saved_f, d_both[:, :, :HIDDEN], grad)
-        _back(p, "b", bytes_, saved_b, d_both[:, :, HIDDEN:], grad)
+        grad["v"], grad["c"] = np.einsum("tkn,thn->kh", d, both, optimize=True), d.sum(axis=(0, 2))[:, None]
+        d_both = p["v"].T @ d
+        _back(p, "f", bytes_, real, saved_f, d_both[:, :HIDDEN], grad)
+        _back(p, "b", bytes_, real, saved_b, d_both[:, HIDDEN:], grad)
         rate = RATE * min(1, 2 * (1 - step / (STEPS + 1)))
         for k in p:
             first[k] += 0.1 * (grad[k] - first[k])
             second[k] += 0.01 * (grad[k] ** 2 - second[k])
             p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
-    return {k: v.astype(np.float32) for k, v in p.items()}
+    return p
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=-1, keepdims=True))
-    return x / x.sum(axis=-1, keepdims=True)
+def label(p: Params, states: np.ndarray) -> np.ndarray:
+    """Probabilities of the languages (time, language, window) at every position."""
+    x = p["v"] @ states + p["c"]
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    x /= x.sum(axis=1, keepdims=True)
+    return x
 
 
-def pad(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    size = np.array([len(w) for w in words])
-    bytes_ = np.zeros((len(words), max(1, size.max(initial=0))), dtype=np.uint8)
+def pad(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.array([len(w) for w in windows])
+    bytes_ = np.zeros((len(windows), max(1, size.max(initial=0))), dtype=np.uint8)
     real = np.arange(bytes_.shape[1]) < size[:, None]
-    bytes_[real] = np.frombuffer(b"".join(words), np.uint8)
+    bytes_[real] = np.frombuffer(b"".join(windows), np.uint8)
     return np.ascontiguousarray(bytes_.T), np.ascontiguousarray(real.T)
 
 
-def word_sums(p: Params, words: pa.Array) -> np.ndarray:
-    """Sums of each word's byte probabilities; words longer than REACH are read in parts."""
-    data, offsets = utf8(words)
-    parts = np.maximum(1, -(-np.diff(offsets) // REACH))
-    of = np.repeat(np.arange(len(words)), parts)
-    start = np.repeat(offsets[:-1], parts) + REACH * (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts))
-    size = np.minimum(REACH, offsets[1:][of] - start)
-    out = np.zeros((len(words), len(p["c"])))
-    order = np.argsort(size, kind="stable")
-    for k in range(0, len(order), _WIDE):
-        own = order[k : k + _WIDE]
-        t = np.arange(max(1, size[own].max()))[:, None]
-        real = t < size[own]
-        bytes_ = data[np.minimum(start[own] + t, max(0, len(data) - 1))] if len(data) else np.zeros(real.shape, np.uint8)
-        both = np.concatenate([run_gru(p, s, bytes_, real)[0] for s in "fb"], axis=2)
-        prob = softmax(both @ p["v"] + p["c"])
-        np.add.at(out, of[own], (prob * real[:, :, None]).sum(axis=0))
+def text_sums(p: Params, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of each text's letter-byte probabilities, a row a text."""
+    n = -(-np.diff(offsets) // READ)
+    of = np.repeat(np.arange(len(n)), n)
+    start = offsets[:-1][of] + READ * (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n))
+    end = np.minimum(start + READ, offsets[1:][of])
+    low, high = np.maximum(start - MARGIN, offsets[:-1][of]), np.minimum(end + MARGIN, offsets[1:][of])
+    out = np.zeros((len(n), len(p["c"])))
+    order = np.argsort(high - low, kind="stable")
+    for k in range(0, len(order), LANES):
+        own = order[k : k + LANES]
+        t = low[own] + np.arange((high - low)[own].max())[:, None]
+        real = t < high[own]
+        bytes_ = data[np.minimum(t, len(data) - 1)]
+        counts = real & (t >= start[own]) & (t < end[own]) & _SPELLS[bytes_]
+        states = np.concatenate([run_gru(p, s, bytes_, real)[0] for s in "fb"], axis=1)
+        np.add.at(out, of[own], np.einsum("tkn,tn->nk", label(p, states), counts.astype(np.float32)))
     return out
 
 
+@releasing
 def _predict(batches: Iterator[pa.RecordBatch], p: Params | None, langs: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in slices(batch, limit=1 << 23):
-            text = piece.column("text").fill_null("")
+        for piece in slices(batch):
+            text = pc.utf8_lower(piece.column("text").fill_null(""))
             lettered = pc.match_substring_regex(text, _LETTER).to_numpy(zero_copy_only=False)
-            if p is None:
-                pooled = np.zeros((len(text), 1))
-            else:
-                lists = pc.ascii_split_whitespace(pc.utf8_lower(text))
-                words = lists.flatten()
-                coded = words.dictionary_encode()
-                own = coded.dictionary
-                plain = pc.match_substring_regex(own, _LETTER).to_numpy(zero_copy_only=False)
-                sums_ = word_sums(p, own) * plain[:, None]
-                code = coded.indices.to_numpy()
-                bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-                pooled = np.stack([sums(sums_[:, k][code], bounds) for k in range(len(langs))], axis=1)
-                pooled /= np.maximum(1e-12, pooled.sum(axis=1, keepdims=True))
+            pooled = text_sums(p, *utf8(text)) if p is not None else np.zeros((len(text), 1))
+            pooled /= np.maximum(1e-12, pooled.sum(axis=1, keepdims=True))
             best = pooled.argmax(axis=1)
             good = lettered & (pooled.max(axis=1) > 0)
             names = [langs[k] if g and langs else "und" for k, g in zip(best.tolist(), good.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(names, pa.string()), pa.array(np.where(good, np.minimum(1.0, pooled.max(axis=1)), 0.0))], names=["doc_id", "lang_pred", "score"])
 
 
+@releasing
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text up to WINDOWS stretches of LEARN bytes, evenly over it."""
+    for batch in batches:
+        for piece in slices(batch):
+            cut = []
+            for data in pc.utf8_lower(piece.column("text")).cast(pa.binary()).to_pylist():
+                k = max(1, min(WINDOWS, len(data) // LEARN))
+                starts = [i * max(0, len(data) - LEARN) // max(1, k - 1) for i in range(k)]
+                cut.append([data[a : a + LEARN] for a in starts])
+            yield pa.RecordBatch.from_arrays([piece.column("lang"), piece.column("place"), pa.array(cut, pa.list_(pa.binary()))], names=["lang", "place", "cut"])
+
+
 def fit(docs: DataFrame, learn) -> tuple[Params | None, list[str]]:
-    """A network and its languages from a bounded sample: for each language the rows with the least hashed ids."""
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """A network and its languages from a bounded sample: for each language the rows with the least hashes of id and text.
+
+    Equal rows count once. The sample is the same however the rows are dealt.
+    """
+    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(_LETTER))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row a language
     langs = sorted(counts)
     if not langs:
         return None, []
-    share = F.create_map(*(F.lit(x) for lang in langs for x in (lang, min(1.0, 1.5 * SAMPLE / counts[lang]))))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    words = F.slice(F.filter(F.shuffle(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), F.lit(11)), lambda w: w.rlike(_LETTER)), 1, SAMPLE_WORDS)
-    some = rows.where(place <= share[F.col("lang")]).select("lang", "doc_id", words.alias("words")).orderBy("lang", F.xxhash64("doc_id"), "words").collect()
-    taken: list[tuple[bytes, int]] = []
-    used = dict.fromkeys(langs, 0)
-    for r in some:
-        if used[r["lang"]] < SAMPLE:
-            used[r["lang"]] += 1
-            taken += [(w.encode(), langs.index(r["lang"])) for w in r["words"]]
-    found = sorted({k for _, k in taken})
-    if not found:
-        return None, []
-    return train([w for w, _ in taken], np.array([found.index(k) for _, k in taken]), len(found)), [langs[k] for k in found]
+    share = F.create_map(*(F.lit(x) for lang in langs for x in (lang, min(1.0, 2.0 * SAMPLE / counts[lang]))))
+    place = F.xxhash64("doc_id", "text")
+    some = rows.select("lang", "text", place.alias("place")).where(F.col("place") / 2.0**64 + 0.5 <= share[F.col("lang")])
+    least = Window.partitionBy("lang").orderBy("place")  # about twice SAMPLE rows a language
+    some = some.dropDuplicates(["lang", "place"]).withColumn("k", F.row_number().over(least)).where(F.col("k") <= SAMPLE)
+    cut = some.select("lang", "place", "text").mapInArrow(_stretches, "lang string, place long, cut array<binary>").orderBy("lang", "place").collect()
+    taken = [(bytes(w), langs.index(r["lang"])) for r in cut for w in r["cut"]]
+    return train([w for w, _ in taken], np.array([k for _, k in taken]), len(langs)), langs
 
 
 def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred and score (the pooled probability of lang_pred) of each row of docs.
 
-    Rows whose crc32(doc_id as text) mod folds is held_out are not learnt from. A null text, or one without a letter,
-    is und with score 0, as is every text if there is nothing to learn from. Repeated rows are judged each; further
-    columns are ignored.
+    Rows whose crc32(doc_id as text) mod folds is held_out are not learnt from; a null doc_id is in no fold and learnt
+    from. A null text, or one without a letter, is und with score 0, as is every text if there is nothing to learn from.
+    Repeated rows are judged each; further columns are ignored; an empty table gives an empty one.
     """
-    out = crc32_mod(F.col("doc_id"), folds) == held_out
-    p, langs = fit(docs.select("doc_id", "lang", "text"), ~out)
+    out = in_fold(F.col("doc_id"), folds, held_out)
+    p, langs = fit(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")), ~out)
     found = spread_by_doc(docs).mapInArrow(partial(_predict, p=p, langs=langs), "doc_id long, lang_pred string, score double")
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")

@@ -12,12 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import slices
-from .sampling import crc32_mod, labelled_ids, member
+from .arrays import releasing, slices
+from .sampling import in_fold, labelled_ids, member
 from .store import materialize, spread_by_doc
 
-#: Labelled documents of each class that the model is fitted on, and terms of the lexicon, at most.
-SAMPLE, TERMS = 20_000, 400
+#: Labelled documents of each class that the model is fitted on, at most. With the least support it bounds the lexicon too.
+SAMPLE = 20_000
 #: Lengths of the word beginnings that may be learnt as stems.
 STEMS = (4, 5, 6, 7)
 #: Words remembered by a worker and states of an automaton, at most; beyond it the memory starts anew.
@@ -31,6 +31,7 @@ _CUES = frozenset("quote quoted said says called zitat sagte nannte cita dijo ci
 _FEATURES = ("exact", "stem", "misspelt", "quoted", "terms")
 
 
+@releasing
 def _terms(batches: Iterator[pa.RecordBatch], toxic: np.ndarray, clean: np.ndarray) -> Iterator[pa.RecordBatch]:
     counts = {True: Counter(), False: Counter()}
     for batch in batches:
@@ -50,19 +51,25 @@ def fit_lexicon(table: DataFrame, toxic: np.ndarray, clean: np.ndarray) -> dict[
     found = table.mapInArrow(partial(_terms, toxic=toxic, clean=clean), "term string, bad long, good long")
     odds = F.log((F.col("bad") + 0.5) / (len(toxic) + 1)) - F.log((F.col("good") + 0.5) / (len(clean) + 1))
     found = found.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).withColumn("odds", odds)
-    rows = found.where((F.col("bad") >= least) & (F.col("odds") >= 3)).orderBy(F.desc("bad"), "term").limit(TERMS).collect()
-    chosen: dict[str, float] = {}
-    for r in sorted(rows, key=lambda r: (not r["term"].endswith("*"), len(r["term"]), r["term"])):
-        term = r["term"]
-        inside = [x for x in rows if x["term"] != term and x["term"].startswith(term[:-1]) and not x["term"].endswith("*")]
-        if term.endswith("*"):
-            # a stem must say more than the one word that it begins, and no shorter stem may say it already
-            if any(2 * x["bad"] > r["bad"] for x in inside) or any(term.startswith(c[:-1]) for c in chosen if c.endswith("*")):
-                continue
-        elif any(term.startswith(c[:-1]) for c in chosen if c.endswith("*")):
-            continue
-        chosen[term] = float(r["odds"])
-    return chosen
+    rows = {r["term"]: (r["bad"], r["odds"]) for r in found.where((F.col("bad") >= least) & (F.col("odds") >= 3)).collect()}
+    return merged(rows)
+
+
+def merged(rows: dict[str, tuple[int, float]]) -> dict[str, float]:
+    """Terms and their odds without what others say already: a stem stays if it says more than any one word that it begins and
+    no shorter stem stays; a word stays if no stem covers it."""
+    words = [t for t in rows if not t.endswith("*")]
+    most: dict[str, int] = {}  # beginning -> support of its most frequent longer word
+    for w in words:
+        for n in STEMS:
+            most[w[:n]] = max(rows[w][0], most.get(w[:n], 0))
+    stems: set[str] = set()
+    covered = lambda t: any(t[:n] in stems for n in STEMS if n <= len(t))
+    for t in sorted((t[:-1] for t in rows if t.endswith("*")), key=lambda t: (len(t), t)):
+        if 2 * most.get(t, 0) <= rows[t + "*"][0] and not covered(t):
+            stems.add(t)
+    chosen = sorted(t + "*" for t in stems) + sorted(w for w in words if not covered(w))
+    return {t: float(rows[t][1]) for t in chosen}
 
 
 class Automaton:
@@ -277,6 +284,7 @@ def features(text: str, lexicon: Lexicon) -> tuple[float, ...]:
     return tuple(float(np.log1p(out[f])) for f in _FEATURES)
 
 
+@releasing
 def _features(batches: Iterator[pa.RecordBatch], terms: dict[str, float]) -> Iterator[pa.RecordBatch]:
     lexicon = Lexicon(terms)
     for batch in batches:
@@ -307,19 +315,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
 
     The lexicon and weights are fitted on bounded samples of toxic and other labelled rows outside the held-out fold.
     Null and empty texts have no hits and get the score of such texts. Repeated rows are scored each; rows with a null
-    doc_id are scored but never learnt from; further columns are ignored; without labels every score is low.
+    doc_id are scored but never learnt from, and so is a document labelled both ways; rows that share a doc_id are learnt from
+    by their mean; further columns are ignored; without labels every score is low.
     """
     table = spread_by_doc(docs)
-    learn = crc32_mod(F.col("doc_id"), folds) != held_out
-    toxic = labelled_ids(labels, learn & (F.col("toxic") == 1), SAMPLE)
-    clean = labelled_ids(labels, learn & (F.col("toxic") == 0), SAMPLE)
+    toxic, clean = (labelled_ids(labels, "toxic", value, SAMPLE, ~in_fold(F.col("doc_id"), folds, held_out)) for value in (1, 0))
     terms = fit_lexicon(table, toxic, clean) if len(toxic) else {}
     kinds = ", ".join(f"{f} double" for f in _FEATURES)
     rows = materialize(table.mapInArrow(partial(_features, terms=terms), f"doc_id long, {kinds}"), "toxicity")
     marks = [(int(i), k) for k, ids in ((1.0, toxic), (0.0, clean)) for i in ids]
     marks = table.sparkSession.createDataFrame(marks, "doc_id long, y double")  # 2 * SAMPLE rows at most
-    known = rows.join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"]).toPandas()
+    known = rows.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "y").agg(*(F.avg(f).alias(f) for f in _FEATURES)).orderBy("doc_id").toPandas()
     w = fit_weights(known[list(_FEATURES)].to_numpy(float), known["y"].to_numpy(float))
     linear = sum((F.col(f) * float(v) for f, v in zip(_FEATURES, w[1:], strict=True)), F.lit(float(w[0])))
     score = (1 / (1 + F.exp(-linear))).alias("score")
-    return rows.select("doc_id", (crc32_mod(F.col("doc_id"), folds) == held_out).alias("held_out"), score).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    return rows.select("doc_id", in_fold(F.col("doc_id"), folds, held_out).alias("held_out"), score).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
