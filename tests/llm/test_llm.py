@@ -63,6 +63,18 @@ def test_pii_base_spans_are_the_patterns():
     assert pii.mask('key password=b7db7aa4a5 and a@b.co') == "key password=<SECRET> and <EMAIL>"
 
 
+def test_pii_spans_of_any_length():
+    assert pii.mask("password=" + "a1" * 320 + " end") == "password=<SECRET> end"
+    assert pii.mask("account number: " + "12345" * 10 + " x") == "account number: <ACCOUNT> x"
+    assert pii.mask("see verylongscheme+tcp://host/x.") == "see <URL>."
+    said = ["ghp_" + "a1B2" * 9, "sk-" + "x9" * 12, "eyJhbGci.eyJzdWIi.abcdefgh", "AKIA" + "A1" * 8, "-----BEGIN RSA PRIVATE KEY-----\nab+/=\n-----END RSA PRIVATE KEY-----"]
+    for secret in said:
+        assert pii.mask(f"is {secret} it") == "is <SECRET> it" or secret.startswith("-----"), secret
+    assert pii.mask(f"is {said[-1]} it") == "is <SECRET> it" and pii.mask("risk-free-and-long-compound-words") == "risk-free-and-long-compound-words"
+    long = "1" * 300_000 + "a@" * 1000 + "://" * 1000 + "+1 " * 1000
+    assert [s for s in pii.find_spans(long) if s[0] == "card"] == []
+
+
 def test_pii_query_digests_its_spans(spark, tmp_path):
     texts = ["mail a@b.co, x.y@c.de or 1.2.3.4", None, "", "call +1 (262) 555-3752, card 4539 1488 0343 6467, password=b7db7aa4a5", "299.1.1.1 é 10.0.0.1"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
@@ -76,25 +88,58 @@ def test_pii_query_digests_its_spans(spark, tmp_path):
     assert [got[0]["n_email"], got[0]["n_ip"], got[3]["n_card"], got[3]["n_phone"], got[4]["n_ip"]] == [2, 1, 1, 1, 1]
 
 
-def test_near_duplicates_against_all_pairs(spark):
-    rng = np.random.default_rng(2)
-    base = [f"v{k}" for k in range(120)]
-    texts = []
-    for k in range(60):
-        w = list(base) if k % 2 else [f"u{k // 6}_{j}" for j in range(90)]
-        for at in rng.integers(0, len(w), rng.integers(0, 6)):
-            w[at] = f"x{k}_{at}"
-        texts.append(" ".join(w))
-    sets = [set(zip(w, w[1:], w[2:])) for w in (t.split() for t in texts)]
+def _components(texts, words, percent):
+    """The least index reachable from each text, by all pairs."""
+    cut = [t.split() for t in texts]
+    sets = [set(zip(*(w[k:] for k in range(words)))) if len(w) >= words else ({tuple(w)} if w else set()) for w in cut]
     label = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 old, new = max(label[i], label[j]), min(label[i], label[j])
                 label = [new if x == old else x for x in label]
+    return label
+
+
+def _near_texts(rng, n):
+    base = [f"v{k}" for k in range(120)]
+    texts = []
+    for k in range(n):
+        w = list(base) if k % 2 else [f"u{k // 6}_{j}" for j in range(90)]
+        for at in rng.integers(0, len(w), rng.integers(0, 6)):
+            w[at] = f"x{k}_{at}"
+        texts.append(" ".join(w))
+    return texts
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, small):
+    if small:  # components of many blocks
+        for name, value in (("BLOCK", 4), ("WIDE", 6), ("SHINGLES", 900)):
+            monkeypatch.setattr(neardup, name, value)
+    texts = _near_texts(np.random.default_rng(2), 60)
     got = neardup.link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 85)
-    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(label))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(_components(texts, 3, 85)))
+
+
+def test_rows_that_share_an_id_are_placed_by_their_texts(spark):
+    texts = _near_texts(np.random.default_rng(3), 4)
+    one, other, alone = texts[1], texts[3], "nothing of the kind is said anywhere else here"
+    rows = [(3, one), (5, other), (5, alone), (7, "q w e r t y u i"), (7, "q w e r t y u i"), (8, None), (8, None), (9, alone + " indeed so")]
+    docs = spark.createDataFrame(rows, "Doc_ID long, Text string").withColumn("gone_", F.lit(1)).withColumn("row", F.lit(2)).withColumn("text_", F.lit(3))
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.link_documents(docs, 3, 60).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (7, 7, True), (7, 7, True), (8, 8, True), (8, 8, True), (9, 5, False)]
+    kept = neardup.keep_one(docs, 3, 60)
+    assert kept.columns == docs.columns
+    assert sorted((r["Doc_ID"], r["Text"] or "") for r in kept.collect()) == [(3, one), (5, alone), (7, "q w e r t y u i"), (8, ""), (8, "")]
+
+
+def test_many_equal_rows_of_one_id(spark):
+    rows = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("a b c d e f g h i j").alias("text"))
+    docs = rows.unionByName(spark.createDataFrame([(2, "a b c d e f g h i k")], "doc_id long, text string"))
+    got = neardup.link_documents(docs, 3, 50).groupBy("doc_id", "component_id").count().collect()
+    assert sorted(tuple(r) for r in got) == [(2, 2, 1), (5, 2, 3000)]
 
 
 def test_encoding_is_the_tokenizers():
@@ -128,6 +173,54 @@ def test_token_files_round_trip(spark, odd, tmp_path):
     assert (grammar.decode_range(shard, 5, shard["n_ids"] - 9) == whole[5:-4]).all()
 
 
+def test_grammar_leaves_no_frequent_pair():
+    rng = np.random.default_rng(13)
+    phrase = rng.integers(0, 50, 300)
+    ids = np.concatenate([*(phrase[rng.integers(0, 200) :] for _ in range(60)), np.full(40, 7)]).astype(np.uint32)
+    ends = np.unique(np.append(rng.integers(1, len(ids), 20), len(ids)))
+    symbols, to, rules = grammar.compress(ids, ends, 100)
+    assert (grammar.expand(symbols, np.concatenate(rules), 100) == ids).all() and len(symbols) < len(ids) / 5
+    bounds = [0, *to.tolist()]
+    pairs: dict[tuple[int, int], int] = {}
+    for a, b in zip(bounds, bounds[1:]):
+        own = symbols[a:b].tolist()
+        for p in zip(own, own[1:]):
+            pairs[p] = pairs.get(p, 0) + 1
+    assert all(n < grammar.LEAST for (x, y), n in pairs.items() if x != y)
+
+
+def test_packed_pieces_hold_all_ids(spark, odd):
+    pieces = packing.pack_documents(odd).collect()
+    documents: dict[tuple, list] = {}
+    sequences: dict[int, list] = {}
+    for r in pieces:
+        assert len(r["ids"]) == 4 * r["length"] and r["sequence_tokens"] <= packing.WINDOW
+        documents.setdefault((r["doc_id"], r["doc_tokens"]), []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append(r)
+    code = encoding.Encoder(encoding.tokenizer_path())
+    want = sorted(((i if i is not None else -1), code.whole([t or ""])[0] + packing.END.to_bytes(4, "little")) for i, t in ODD)
+    got = []
+    for (doc_id, n), rows in documents.items():
+        copies = sum(r["length"] for r in rows) // n
+        starts = sorted((r["start"], r["ids"]) for r in rows)
+        if copies == 1:
+            got.append((-1 if doc_id is None else doc_id, b"".join(x for _, x in starts)))
+        else:  # equal rows are cut each in its own way
+            got += [(doc_id, next(x for i, x in want if i == doc_id))] * copies
+    assert sorted(got) == want
+    for rows in sequences.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert {r["sequence_tokens"] for r in rows} == {at} and len({r["step_id"] for r in rows}) == 1
+        assert rows[0]["window"] == (at if at & (at - 1) == 0 else packing.WINDOW)
+    totals = [2048, 2048, 1024, 512, 512, 2048]
+    groups = packing.balance(totals, 4096)
+    load = [sum(t for t, g in zip(totals, groups) if g == k) for k in set(groups)]
+    assert max(load) - min(load) <= 2048 and sum(load) == sum(totals)
+
+
 def test_packing_covers_without_padding():
     rng = np.random.default_rng(4)
     for _ in range(60):
@@ -156,43 +249,72 @@ def test_chat_round_trip(spark):
     assert all(x not in chat.escape("####<turn></turn><|[INST]") for x in ("###", "<turn>", "</turn>", "<|", "[INST]"))
 
 
+def _ppm(texts, order, escape):
+    """Plain prediction by partial matching: log10 of each text, from contexts in dictionaries."""
+    from collections import Counter, defaultdict
+
+    said = [b"".join(w.encode() + b" " for w in re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({k: k + 32 for k in range(65, 91)}))) + b"\n" for t in texts]
+    full = [b"\t" * (order - 1) + b" " + x for x in said]
+    follow = [defaultdict(Counter) for _ in range(order + 1)]
+    for x in full:
+        for at in range(order, len(x)):
+            for k in range(order + 1):
+                follow[k][x[at - k : at]][x[at]] += 1
+
+    def price(context, symbol):
+        out, gone = 1.0, set()
+        for k in range(order, -1, -1):
+            counts = {s: n for s, n in follow[k][context[len(context) - k :]].items() if s not in gone}
+            if not follow[k][context[len(context) - k :]]:
+                continue
+            total = sum(counts.values())
+            if symbol in counts:
+                return out * (counts[symbol] - escape) / total
+            if counts:
+                out *= escape * len(counts) / total
+            gone |= set(counts)
+        return out / max(1, 256 - len(follow[0][b""]))
+
+    return [sum(np.log10(price(x[at - order : at], x[at])) for at in range(order, len(x))) for x in full], price
+
+
 def test_trie_probabilities_sum_to_one():
-    """Against the definition: over all 256 symbols of a seen context the probabilities sum to one."""
-    import pyarrow as pa
+    _, price = _ppm(["abab", "abc", "b"], 3, 0.3)
+    for context in (b"\t\t ", b" ab", b"zzz", b"bab"):
+        assert abs(sum(price(context, s) for s in range(256)) - 1) < 1e-9
 
-    key, bounds = lm.gram_keys(pa.array(["abab", "abc", "b"]))
-    gram, c = np.unique(np.append(key, lm._END_GRAM), return_counts=True)
-    low = np.zeros((256, 256))
-    np.add.at(low, ((gram >> 8) & 0xFF, gram & 0xFF), c)
-    for context in {int(g) >> 8 for g in gram}:
-        tail = context & 0xFFFF
-        own = gram[((gram >> 8) & 0xFFFF) == tail]
-        every = np.union1d(own, (context << 8) | np.arange(256))
-        counts = np.array([c[np.searchsorted(gram, g)] if g in gram else 0 for g in every])
-        p = 10 ** lm.trie_scores(every, counts, low)
-        assert abs(p[(every >> 8) == context].sum() - 1) < 1e-9
-
-
-def test_language_model_scores_whole_texts(spark):
-    """Against one trie of all texts; the same words in another order cost more."""
-    import pyarrow as pa
 
+@pytest.mark.parametrize("short", [500_000, 0])
+def test_language_model_scores_whole_texts(spark, monkeypatch, short):
+    """Against dictionaries of contexts, with long and with short contexts sent; the same words in another order cost more."""
+    monkeypatch.setattr(lm, "SHORT", short)
     rng = np.random.default_rng(9)
     phrase = "the quick brown fox jumps over a lazy dog"
     mixed = " ".join(rng.permutation(phrase.split()))
     texts = [phrase] * 6 + [mixed, " ".join(rng.choice(["aa", "bé", "c", "Dd"], 400)), "", None, " x\n Y "]
     got = {r["doc_id"]: r for r in lm.score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), held_out=10).collect()}
-    key, bounds = lm.gram_keys(pa.array(texts))
-    gram, c = np.unique(key, return_counts=True)
-    low = np.zeros((256, 256))
-    np.add.at(low, ((gram >> 8) & 0xFF, gram & 0xFF), c)
-    price = lm.trie_scores(gram, c, low)[np.searchsorted(gram, key)]
+    want, _ = _ppm(texts, lm.ORDER, lm.ESCAPE)
     for k in range(len(texts)):
-        assert abs(got[k]["score"] - price[bounds[k] : bounds[k + 1]].sum()) < 1e-4
-        assert bytes((key[bounds[k] : bounds[k + 1]] & 0xFF).astype(np.uint8)) == b"".join(w.lower().encode() + b" " for w in (texts[k] or "").split()) + b"\n"
+        assert abs(got[k]["score"] - want[k]) < 1e-3
     assert got[6]["base_score"] == pytest.approx(got[0]["base_score"]) and got[6]["score"] < got[0]["score"] - 1
 
 
+def test_language_model_base_counts(spark):
+    rng = np.random.default_rng(12)
+    texts = [" ".join(rng.choice(["Ab", "ab", "c", "é", "x1", "\tq"], rng.integers(0, 30))) for _ in range(60)] + [None, "", "never seen"]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    cut = {k: re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) + ["\n"] for k, t in rows}
+    out = {k: zlib.crc32(str(k).encode()) % 10 == 0 for k in cut}
+    from collections import Counter
+
+    c = Counter(w for k, words in cut.items() if not out[k] for w in words)
+    n, v = sum(c.values()), len(c)
+    for k, words in cut.items():
+        assert (got[k]["held_out"], got[k]["n_tokens"], got[k]["n_known"], got[k]["train_tokens"]) == (out[k], len(words), sum(c[w] > 0 for w in words), n)
+        assert got[k]["base_score"] == pytest.approx(sum(np.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words))
+
+
 def test_lexicon_automaton_against_distances():
     lex = toxicity.Lexicon({"disgusting": 4.0, "loser": 3.0, "lowei*": 2.0})
     assert lex.match("disgustnig") == ("disgusting", 2) and lex.match("losser") == ("loser", 1)
@@ -245,25 +367,53 @@ def test_misspelt_terms_are_met():
 
 def test_gradients_match_differences():
     rng = np.random.default_rng(5)
-    words, langs = [b"abc", b"xyz", b"ab"], np.array([0, 1, 0])
-    p = {f"e{s}": rng.normal(0, 0.3, (256, 48)) for s in "fb"} | {f"u{s}": rng.normal(0, 0.3, (16, 48)) for s in "fb"}
-    bytes_, real = langid.pad(words)
-    v = rng.normal(0, 0.3, (16, 2))
-
-    def loss():
-        f = langid.run_gru(p, "f", bytes_, real)[0]
-        return (np.log(np.exp(f @ v).sum(axis=2)) - (f @ v)[:, np.arange(3), langs])[real].sum()
-
-    f, saved = langid.run_gru(p, "f", bytes_, real, True)
-    d = langid.softmax(f @ v)
-    d[:, np.arange(3), langs] -= 1
-    d *= real[:, :, None]
-    grad = {k: np.zeros_like(x) for k, x in p.items()}
-    langid._back(p, "f", bytes_, saved, d @ v.T, grad)
-    for name, at in (("uf", (3, 7)), ("uf", (2, 40)), ("ef", (ord("b"), 20))):
-        p[name][at] += 1e-5
-        up = loss()
-        p[name][at] -= 2e-5
-        down = loss()
-        p[name][at] += 1e-5
-        assert abs((up - down) / 2e-5 - grad[name][at]) < 1e-4
+    p = {f"e{s}": rng.normal(0, 0.3, (48, 256)) for s in "fb"} | {f"u{s}": rng.normal(0, 0.3, (48, 16)) for s in "fb"} | {"v": rng.normal(0, 0.3, (2, 16)), "c": np.zeros((2, 1))}
+    bytes_, real = langid.pad([b"abc", b"xyz", b"ab"])
+    langs = np.array([0, 1, 0])
+    for side in "fb":
+
+        def loss(side=side):
+            prob = langid.label(p, langid.run_gru(p, side, bytes_, real)[0])
+            return -np.log(prob[:, langs, np.arange(3)])[real].sum()
+
+        f, saved = langid.run_gru(p, side, bytes_, real, True)
+        d = langid.label(p, f)
+        d[:, langs, np.arange(3)] -= 1
+        d *= real[:, None, :]
+        grad = {k: np.zeros_like(x) for k, x in p.items()}
+        langid._back(p, side, bytes_, real, saved, p["v"].T @ d, grad)
+        for name, at in (("u" + side, (7, 3)), ("u" + side, (40, 2)), ("e" + side, (20, ord("b")))):
+            p[name][at] += 1e-5
+            up = loss()
+            p[name][at] -= 2e-5
+            down = loss()
+            p[name][at] += 1e-5
+            assert abs((up - down) / 2e-5 - grad[name][at]) < 1e-4
+
+
+def test_windows_read_what_the_whole_text_says(monkeypatch):
+    """Sums over windows are those of one reading, up to what margins leave; order of words counts."""
+    rng = np.random.default_rng(6)
+    p = {f"e{s}": rng.normal(0, 0.5, (48, 256)).astype(np.float32) for s in "fb"} | {f"u{s}": rng.normal(0, 0.2, (48, 16)).astype(np.float32) for s in "fb"} | {"v": rng.normal(0, 1, (3, 32)).astype(np.float32), "c": np.zeros((3, 1), np.float32)}
+    import pyarrow as pa
+
+    texts = pa.array(["".join(rng.choice(list("abé .,\n1"), 700)), "", "1 2", "ab " * 300, "x"])
+    got = langid.text_sums(p, *langid.utf8(texts))
+    monkeypatch.setattr(langid, "READ", 10_000)
+    whole = langid.text_sums(p, *langid.utf8(texts))
+    assert np.abs(got - whole).max() < 0.5 and np.allclose(got.sum(axis=1), whole.sum(axis=1), atol=0.01)
+    assert np.allclose(whole.sum(axis=1), [sum(c.isalpha() * len(c.encode()) for c in t) for t in texts.to_pylist()], atol=0.05)
+    turned = langid.text_sums(p, *langid.utf8(pa.array(["ab cd ef", "ef cd ab"])))
+    assert np.abs(turned[0] - turned[1]).max() > 1e-4
+
+
+def test_language_scores_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a, b = ({r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(d).collect()} for d in (docs.coalesce(1), docs.repartition(16)))
+    assert {k: v[0] for k, v in a.items()} == {k: v[0] for k, v in b.items()} and all(abs(a[k][1] - b[k][1]) < 1e-6 for k in a)
+
+
+def test_held_out_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.join(langid.identify(docs), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'").groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("share")).collect()
+    assert len(rows) > 1 and all(r["share"] >= 0.95 for r in rows), rows
