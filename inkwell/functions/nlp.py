@@ -114,13 +114,17 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
 
+#: Patterns that any regular-expression engine without lookaround can run, for one group each.
+ENTITY = r"[\p{L}\p{N},;:] (\p{Lu}[\p{L}\p{N}]+(?: \p{Lu}[\p{L}\p{N}]+)*)"
+NOUN = r"(?:^|[^\p{L}\p{N}_])(?:the|a|an|this|that|these|those|my|your|his|her|its|our|their) (\p{L}+)"
+
+
 def entities(text):
     """Runs of capitalised words that don't open a sentence, in lower case, two characters at least: native."""
-    runs = F.regexp_extract_all(text, F.lit(r"(?<=[\p{L}\p{N},;:] )(\p{Lu}[\p{L}\p{N}]+(?: \p{Lu}[\p{L}\p{N}]+)*)"), 1)
+    runs = F.regexp_extract_all(text, F.lit(ENTITY), 1)
     return F.filter(F.transform(runs, lambda r: F.lower(F.trim(r))), lambda r: F.length(r) >= 2)
 
 
-def nouns(text, determiners: str = "the|a|an|this|that|these|those|my|your|his|her|its|our|their"):
+def nouns(text):
     """Words behind a determiner, in lower case, longer than three characters: native."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(rf"\b(?:{determiners}) (\p{{L}}+)"), 1)
-    return F.filter(found, lambda w: F.length(w) > 3)
+    return F.filter(F.regexp_extract_all(F.lower(text), F.lit(NOUN), 1), lambda w: F.length(w) > 3)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .constants import ALL_STOP_WORDS, MONTHS
 
+#: The patterns of links, images and word breaks, and of the cleaning steps below with their order.
 LINK = r"\[([^\]]+)\]\(([^)]+)\)"
 IMAGE = r"!\[([^\]]*)\]\(([^)]+)\)"
 HTML_IMAGE = r"<img[^>]+>"
@@ -18,6 +19,20 @@ def round_half_up(x: Column, k: int) -> Column:
     return F.floor(x * F.lit(float(k)) + 0.5) / F.lit(float(k))
 
 
+def to_fixed(x: Column, digits: int = 2) -> Column:
+    """x rounded by its exact binary value, ties away from zero: 1.005 to two places is 1.0, since it lies below 1.005.
+
+    The product with the power of ten is kept with its rounding error, so that the comparison with a half is exact.
+    """
+    k = F.lit(float(10**digits))
+    size = F.abs(x)
+    p = size * k
+    high = size * 134217729.0 - (size * 134217729.0 - size)
+    error = (high * k - p) + (size - high) * k
+    whole = F.floor(p)
+    return F.signum(x) * (whole + F.when((p - whole - 0.5) + error >= 0, 1).otherwise(0)) / k
+
+
 def _replace(text: Column, *steps: tuple[str, str]) -> Column:
     for pattern, by in steps:
         text = F.regexp_replace(text, pattern, by)
@@ -49,21 +64,21 @@ def keyword_clean(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Runs of Latin or Cyrillic letters, digits and underscores."""
-    return F.filter(F.split(text, BREAKS), lambda w: w != "")
+    return F.array_remove(F.split(text, BREAKS), "")
 
 
-def tokens(text: Column, stop: tuple[str, ...] = ALL_STOP_WORDS) -> Column:
-    """Lower-case words of the stripped text, longer than two characters and no stop words."""
+def distinct_tokens(text: Column, stop: tuple[str, ...] = ALL_STOP_WORDS) -> Column:
+    """Distinct lower-case words of the stripped text, longer than two characters and no stop words."""
     listed = F.array(*map(F.lit, stop))
-    return F.filter(F.transform(words(strip_markdown(text)), lambda w: F.lower(w)), lambda w: (F.length(w) > 2) & ~F.array_contains(listed, w))
+    return F.array_except(F.filter(words(F.lower(strip_markdown(text))), lambda w: F.length(w) > 2), listed)
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, r"[.!?]+"), lambda s: F.trim(s)), lambda s: s != "")
+    return F.array_remove(F.transform(F.split(text, r"[.!?]+"), lambda s: F.trim(s)), "")
 
 
 def spaced_words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def bigrams(listed: Column) -> Column:
@@ -78,8 +93,12 @@ def syllables(word: Column) -> Column:
     return F.when(F.length(low) <= 3, 1).otherwise(F.greatest(F.regexp_count(stem, F.lit("[aeiouy]{1,2}")), F.lit(1)))
 
 
-def text_syllables(listed: Column) -> Column:
-    return F.aggregate(listed, F.lit(0), lambda n, w: n + syllables(w))
+def text_syllables(text: Column) -> Column:
+    """The sum of syllables over a text's words between white space, by patterns over the whole text: short words and such
+    without a vowel become one vowel, endings go, a leading y becomes a mark, and the vowel groups left are counted."""
+    low = F.lower(text)
+    plain = _replace(low, (r"(?<!\S)\S{1,3}(?!\S)", "a"), (r"(?:[^laeiouy\s]es|ed|[^laeiouy\s]e)(?!\S)", ""), (r"(?<!\S)y", "-"), (r"(?<!\S)[^aeiouy\s]+(?!\S)", "a"))
+    return F.regexp_count(plain, F.lit("[aeiouy]{1,2}"))
 
 
 def reading_grade(n_words: Column, n_sentences: Column, n_syllables: Column) -> Column:
@@ -146,6 +165,12 @@ def last_month(text: Column) -> Column:
     return month_number(F.nullif(F.regexp_extract(F.lower(text), f"(?s).*({'|'.join(MONTHS)})", 1), F.lit("")))
 
 
+def coverage_date(base: Column, subject: Column, filename: Column) -> Column:
+    """The first day of the month that a post covers: the month from subject, file name or base date, the year from the base date."""
+    month = F.coalesce(last_month(subject), last_month(filename), F.month(base))
+    return F.make_date(F.year(base), month, F.lit(1))
+
+
 def coverage_month(base: Column, title: Column, slug: Column) -> Column:
     """yyyy-MM: the month from title, slug or base date, the year always from the base date."""
     return F.concat_ws("-", F.year(base), F.format_string("%02d", F.coalesce(last_month(title), last_month(slug), F.month(base))))

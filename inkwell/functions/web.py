@@ -48,16 +48,22 @@ def unwrapped(url: Column) -> Column:
     return F.when(url.contains(WRAPPED), F.when(coded != "", decoded(coded)).when(plain != "", plain))
 
 
+def _bound(value: Column, f) -> Column:
+    """f(value) with value computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def absolute(url: Column) -> Column:
     """A trimmed http or https URL; an empty path becomes /; others are null."""
-    bare = F.trim(url)
-    full = F.when(bare.startswith("//"), F.concat(F.lit("https:"), bare)).otherwise(bare)
-    good = (bare != "") & ~bare.rlike("^(data|blob):") & F.lower(F.try_parse_url(full, F.lit("PROTOCOL"))).isin("http", "https")
-    return F.when(good, F.regexp_replace(full, r"^(https?://[^/?#]+)$", "$1/"))
+    def checked(full: Column) -> Column:
+        good = (full != "") & ~full.rlike("^(data|blob):") & F.lower(F.try_parse_url(full, F.lit("PROTOCOL"))).isin("http", "https")
+        return F.when(good, F.regexp_replace(full, r"^(https?://[^/?#]+)$", "$1/"))
+
+    return _bound(F.regexp_replace(F.trim(url), "^//", "https://"), checked)
 
 
 def direct(url: Column) -> Column:
-    return absolute(F.coalesce(unwrapped(url), url))
+    return _bound(url, lambda u: absolute(F.coalesce(unwrapped(u), u)))
 
 
 def url_dimensions(url: Column) -> Column:
@@ -104,19 +110,26 @@ def largest(candidates: Column) -> Column:
 
 def canonical(plain: Column, meta_src: Column, src: Column, candidates: Column, linked: Column) -> Column:
     """(url, source): the first of five places that gives an absolute URL."""
-    choices = ((plain, "data-attrs.srcNoWatermark"), (meta_src, "data-attrs.src"), (src, "img.src"), (largest(candidates)["url"], "largest-srcset-candidate"), (F.when(looks_like_image(linked), linked), "linked-image.href"))
-    found = [F.when(direct(c).isNotNull(), F.struct(direct(c).alias("url"), F.lit(name).alias("source"))) for c, name in choices]
-    return F.coalesce(*found)
+    choices = ((plain, "data-attrs.srcNoWatermark"), (meta_src, "data-attrs.src"), (src, "img.src"), (_bound(candidates, largest)["url"], "largest-srcset-candidate"), (_bound(linked, lambda u: F.when(looks_like_image(u), u)), "linked-image.href"))
+    pairs = F.array(*(F.struct(c.alias("url"), F.lit(name).alias("source")) for c, name in choices))
+    found = F.transform(pairs, lambda p: F.struct(direct(p["url"]).alias("url"), p["source"].alias("source")))
+    return F.get(F.filter(found, lambda p: p["url"].isNotNull()), F.lit(0))
+
+
+#: What names of classes and ids say about an image.
+_TRACKING = r"\b(tracking|tracker|beacon|pixel)\b"
+_AVATAR = r"\b(avatar|profile[-_ ]?(photo|image)|user[-_ ]?(photo|image)|headshot)\b"
+_CHROME = r"\b(publication[-_ ]?logo|newsletter[-_ ]?logo|brand[-_ ]?logo|app[-_ ]?icon)\b"
 
 
 def classify(context: Column, width: Column, height: Column, embedded: Column) -> Column:
     low = F.lower(context)
     rules = (
         ((width <= 1) | (height <= 1), "tracking"),
-        (low.rlike(r"\b(tracking|tracker|beacon|pixel)\b"), "tracking"),
-        (low.rlike(r"\b(avatar|profile[-_ ]?(photo|image)|user[-_ ]?(photo|image)|headshot)\b"), "avatar"),
+        (low.rlike(_TRACKING), "tracking"),
+        (low.rlike(_AVATAR), "avatar"),
         (embedded, "embed"),
-        (low.rlike(r"\b(publication[-_ ]?logo|newsletter[-_ ]?logo|brand[-_ ]?logo|app[-_ ]?icon)\b"), "publication-chrome"),
+        (low.rlike(_CHROME), "publication-chrome"),
     )
     out = F.lit("post-content")
     for rule, name in reversed(rules):

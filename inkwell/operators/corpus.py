@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,10 @@ from ..functions.text import round_half_up
 
 
 def token_rows(docs: DataFrame, stop: tuple[str, ...] = ALL_STOP_WORDS) -> DataFrame:
-    """(doc_id, token), one row per occurrence."""
-    return docs.select("doc_id", F.explode(text.tokens(F.coalesce("text", F.lit("")), stop)).alias("token"))
+    """(doc_id, token), one row per occurrence of a lower-case word of the stripped text, longer than two characters and no stop word."""
+    plain = F.lower(text.strip_markdown(F.coalesce("text", F.lit(""))))
+    rows = docs.select("doc_id", F.explode(F.split(plain, text.BREAKS)).alias("token"))
+    return rows.where((F.length("token") > 2) & ~F.col("token").isin(*stop))
 
 
 def tokens_per_doc(docs: DataFrame) -> DataFrame:
@@ -36,11 +40,13 @@ def top_words(docs: DataFrame, k: int = 20) -> DataFrame:
 
 
 def top_bigrams(docs: DataFrame, k: int = 15) -> DataFrame:
-    listed = docs.select(text.words(F.lower(F.coalesce("text", F.lit("")))).alias("w"))
-    pairs = listed.select(F.explode(text.bigrams(F.col("w"))).alias("bigram"))
-    part = F.split("bigram", " ")
-    pairs = pairs.where(~F.get(part, F.lit(0)).isin(*STOP_WORDS) & ~F.get(part, F.lit(1)).isin(*STOP_WORDS))
-    return pairs.groupBy("bigram").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "bigram").limit(k)
+    """Pairs of neighbouring words, neither a stop word; pairs are joined to strings after they are counted."""
+    w = F.col("w")
+    listed = docs.select(text.words(F.lower(F.coalesce("text", F.lit("")))).alias("w")).where(F.size(w) > 1)
+    sides = F.arrays_zip(F.slice(w, F.lit(1), F.size(w) - 1).alias("a"), F.slice(w, F.lit(2), F.size(w) - 1).alias("b"))
+    pairs = listed.select(F.inline(sides)).where(~F.col("a").isin(*STOP_WORDS) & ~F.col("b").isin(*STOP_WORDS))
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    return counted.select(F.concat_ws(" ", "a", "b").alias("bigram"), "n").orderBy(F.desc("n"), "bigram").limit(k)
 
 
 def term_weights(docs: DataFrame) -> DataFrame:
@@ -98,7 +104,7 @@ def vocabulary_growth(docs: DataFrame, group: str | None = None) -> DataFrame:
     """
     keys = [group] if group else []
     rows = docs.where(F.col(group).isNotNull()) if group else docs
-    seen = rows.select(*keys, "doc_id", F.explode(F.array_distinct(text.tokens(F.coalesce("text", F.lit(""))))).alias("token"))
+    seen = rows.select(*keys, "doc_id", F.explode(text.distinct_tokens(F.coalesce("text", F.lit("")))).alias("token"))
     first = seen.groupBy(*keys, "token").agg(F.min("doc_id").alias("doc_id"))
     new = first.groupBy(*keys, "doc_id").agg(F.count("*").alias("new"))
     base = rows.select(*keys, "doc_id").join(new, [*keys, "doc_id"], "left").withColumn("new", F.coalesce("new", F.lit(0)))
@@ -113,8 +119,7 @@ def vocabulary_growth(docs: DataFrame, group: str | None = None) -> DataFrame:
 
 def readability(docs: DataFrame) -> DataFrame:
     plain = docs.select("doc_id", text.strip_markdown(F.coalesce("text", F.lit(""))).alias("t"))
-    parts = plain.select("doc_id", text.spaced_words(F.col("t")).alias("w"), F.size(text.sentences(F.col("t"))).alias("n_sentences"))
-    parts = parts.select("doc_id", F.size("w").alias("n_words"), "n_sentences", text.text_syllables(F.col("w")).alias("n_syllables"))
+    parts = plain.select("doc_id", F.size(text.spaced_words(F.col("t"))).alias("n_words"), F.size(text.sentences(F.col("t"))).alias("n_sentences"), text.text_syllables(F.col("t")).alias("n_syllables"))
     grade = text.reading_grade(F.col("n_words"), F.col("n_sentences"), F.col("n_syllables"))
     return parts.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.col("n_sentences").cast("long").alias("n_sentences"), F.col("n_syllables").cast("long").alias("n_syllables"), round_half_up(grade, 100).alias("readability"))
 
@@ -153,15 +158,22 @@ def sentiment(docs: DataFrame, lexicon: dict[str, int] | None = None) -> DataFra
 
 
 def content_evolution(docs: DataFrame, quarters: int = 4) -> DataFrame:
-    """Documents and words in contiguous quarters of the archive by doc_id; the first ones are the fuller."""
-    n = docs.count()
-    size = max(1, -(-n // quarters))
-    rank = docs.select("doc_id").sort("doc_id")
-    cuts = [rank.offset(size * k).limit(1).select(F.col("doc_id").alias("from_"), F.lit(k).cast("long").alias("quarter")) for k in range(quarters)]
-    starts = cuts[0]
-    for c in cuts[1:]:
-        starts = starts.unionByName(c)
-    starts = {r["quarter"]: r["from_"] for r in starts.collect()}  # a row a quarter
+    """Documents and words in contiguous quarters of the archive by doc_id; the first ones are the fuller.
+
+    Counts of id ranges tell which ranges hold the quarters' bounds; only those few are ordered by doc_id.
+    """
+    block = F.floor(F.col("doc_id") / 4096)
+    sizes = docs.groupBy(block.alias("block")).agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    size = max(1, -(-total // quarters))
+    run = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)  # a row for each 4,096 ids
+    places = sizes.select("block", (F.sum("n").over(run) - F.col("n")).alias("before"), "n")
+    holds = places.where(f"floor((before + n - 1) / {size}) > floor((before - 1) / {size})").collect()  # a row a quarter at most
+    starts = {}
+    for r in holds:
+        for k in range(-(-r["before"] // size), (r["before"] + r["n"] - 1) // size + 1):
+            first = docs.where(block == r["block"]).select("doc_id").sort("doc_id").offset(size * k - r["before"]).limit(1)
+            starts[k] = first.first()["doc_id"]
     quarter = F.lit(0)
     for k in sorted(starts)[1:]:
         quarter = F.when(F.col("doc_id") >= starts[k], k).otherwise(quarter)
@@ -202,9 +214,35 @@ def entities_over_time(docs: DataFrame, k: int = 15) -> DataFrame:
     return grid.join(per_doc.select("doc_id", "entity", "n"), ["doc_id", "entity"], "left").select("doc_id", "entity", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def dense_similarity(vectors: DataFrame, least: float = 0.95) -> DataFrame:
-    """Rows of vec_id, norm and label sum: the cosine of each vector with its label's centroid."""
-    at = vectors.select("vec_id", "label", F.posexplode("embedding").alias("k", "x"))
-    centre = at.groupBy("label", "k").agg(F.avg(F.col("x").cast("double")).alias("c"))
-    both = at.join(F.broadcast(centre), ["label", "k"]).groupBy("vec_id", "label").agg(F.sum(F.col("x") * F.col("c")).alias("d"), F.sum(F.col("x").cast("double") * F.col("x")).alias("xx"), F.sum(F.col("c") * F.col("c")).alias("cc"))
-    return both.select("vec_id", "label", round_half_up(F.col("d") / F.sqrt(F.col("xx") * F.col("cc")), 1000).alias("similarity"))
+def dense_similarity(vectors: DataFrame) -> DataFrame:
+    """(vec_id, label, similarity): the cosine of each vector with its label's centroid, computed on whole arrays."""
+    centre = vectors.groupBy("label").agg(vector_to_array(Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>")))).alias("c"))
+    both = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x")).join(centre, "label")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+    x, c = F.col("x"), F.col("c")
+    return both.select("vec_id", "label", round_half_up(dot(x, c) / F.sqrt(dot(x, x) * dot(c, c)), 1000).alias("similarity"))
+
+
+def posts_with_metadata(posts: DataFrame, metadata: DataFrame, order: str) -> DataFrame:
+    """Posts with the columns of their metadata by filename; of rows that repeat a filename the last by order wins."""
+    last = metadata.groupBy("filename").agg(F.max_by(F.struct(*(c for c in metadata.columns if c != "filename")), order).alias("m_"))
+    return posts.join(last, "filename", "left").select(*posts.columns, *(F.col(f"m_.{c}") for c in metadata.columns if c not in ("filename", order)))
+
+
+def structure_report(posts: DataFrame) -> DataFrame:
+    """A row of structural metrics for each Markdown post (filename, text); posts whose names tell no date are special."""
+    t = F.coalesce("text", F.lit(""))
+    date = text.date_from_filename(F.col("filename"))
+    special = F.when(date.isNull(), F.regexp_replace("filename", r"\.md", ""))
+    words_ = F.size(text.words(text.structural_clean(t)))
+    return posts.select("filename", date.alias("date"), special.alias("special"), *(c.cast("long").alias(k) for k, c in {"n_words": words_, "n_paragraphs": text.paragraph_count(t), "n_links": F.size(text.links(t)), "n_images": text.image_count(t), "n_headings": F.size(text.headings(t))}.items()))
+
+
+def structure_totals(report: DataFrame) -> DataFrame:
+    """Totals and means (2 places) of words over dated posts and of images over all."""
+    regular = F.col("special").isNull()
+    mean = lambda c: round_half_up(F.coalesce(F.avg(c), F.lit(0.0)), 100)
+    return report.agg(
+        F.count("*").alias("n_posts"), F.count_if(regular).alias("n_regular"), F.coalesce(F.sum(F.when(regular, F.col("n_words"))), F.lit(0)).alias("n_words"), mean(F.when(regular, F.col("n_words"))).alias("mean_words"),
+        F.coalesce(F.sum("n_images"), F.lit(0)).alias("n_images"), mean("n_images").alias("mean_images"),
+    )

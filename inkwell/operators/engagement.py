@@ -28,6 +28,11 @@ def post_engagement(posts: DataFrame, deliveries: DataFrame, opens: DataFrame) -
     return out.withColumn("open_rate", F.when(F.col("delivered") > 0, round_half_up(F.col("unique_opens") / F.col("delivered"), 1000))).withColumn("open_lag_minutes", round_half_up(lag, 100))
 
 
+def rate_percent(rate: Column) -> Column:
+    """An open rate in per cent, to one place."""
+    return F.floor(rate * 1000 + 0.5) / F.lit(10.0)
+
+
 def histograms(opens: DataFrame, keys: list[str], kinds: dict[str, Column]) -> DataFrame:
     """(keys, kind, value, n) for several groupings in one pass; blanks count as Unknown."""
     pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("Unknown")).alias("value")) for k, c in kinds.items())))

@@ -164,17 +164,26 @@ def word_stems(spark, d):
     return corpus.stems(docs(spark, d)).withColumn("words", F.array_join("words", ","))
 
 
-@query()
+def _entities(x: str) -> str:
+    return f"list_filter(list_transform(regexp_extract_all({x}, '{nlp.ENTITY}', 1), lambda r: lower(trim(r))), lambda r: length(r) >= 2)"
+
+
+@query(f"""with e as (select doc_id, entity, count(*) as n from (select doc_id, unnest({_entities(T)}) as entity from documents) group by all),
+p as (select * from (select *, row_number() over (partition by doc_id order by n desc, entity) as k from e) where k <= 20), t as (select entity from p group by entity order by sum(n) desc, entity limit 15)
+select d.doc_id, t.entity, coalesce(p.n, 0) as n from documents d cross join t left join p on p.doc_id = d.doc_id and p.entity = t.entity""")
 def entities_over_time(spark, d):
     return corpus.entities_over_time(docs(spark, d))
 
 
-@query()
+@query(f"select term, count(*) as n from (select unnest(list_filter(regexp_extract_all(lower({T}), '{nlp.NOUN}', 1), lambda w: length(w) > 3)) as term from documents) group by term order by n desc, term limit 20")
 def keywords(spark, d):
     return corpus.keyword_counts(docs(spark, d), nlp.nouns(F.coalesce("text", F.lit(""))), 20)
 
 
-@query()
+_TOPIC_TEXT = f"regexp_replace(regexp_replace(trim({T}), '!\\[([^\\[]*)\\](\\(.*\\))', '', 'g'), '\\[([^\\[]+)\\](\\(.*\\))', '\\1', 'g')"
+
+
+@query(f"select term, count(*) as n from (select unnest({_entities(_TOPIC_TEXT)}) as term from documents) group by term order by n desc, term limit 100")
 def topics(spark, d):
     return corpus.keyword_counts(docs(spark, d), nlp.entities(text.structural_clean(F.coalesce("text", F.lit("")), images_first=True)), 100)
 
@@ -215,16 +224,11 @@ def page_markdown(spark, d):
     return md.select("page_id", "markdown", F.size(text.links(F.col("markdown"))).alias("n_links"), F.size(text.headings(F.col("markdown"))).alias("n_headings"), text.image_count(F.col("markdown")).alias("n_images"), round_half_up(text.list_ratio(F.col("markdown")), 1000).alias("list_ratio"))
 
 
-@query()
-def image_inventory(spark, d):
-    return assets.mark_duplicates(assets.inventory(table(spark, d, "pages")), "url", ["doc_id", "ordinal"], "asset_id").select("asset_id", "doc_id", "kind", "url", "class", "status", "duplicate_of")
-
-
-@query("""with u as (select page_id, case when contains(b, 'www.') then b else regexp_replace(b, '^(https?://)', '\\1www.') end as url from (select page_id, regexp_replace(trim(url), '/$', '') as b from pages))
-select a.url from u a where page_id % 2 = 1 and not exists (select 1 from u b where b.page_id % 2 = 0 and b.url = a.url)""")
+@query(f"""with f as (select url from ({_HREFS})), n as (select case when contains(b, 'www.') then b else regexp_replace(b, '^(https?://)', '\\1www.') end as url from (select regexp_replace(trim(url), '/$', '') as b from f)),
+k as (select case when contains(b, 'www.') then b else regexp_replace(b, '^(https?://)', '\\1www.') end as url from (select regexp_replace(trim(url), '/$', '') as b from pages))
+select url from n where not exists (select 1 from k where k.url = n.url)""")
 def new_links(spark, d):
-    pages = table(spark, d, "pages")
-    return assets.new_links(pages.where("page_id % 2 = 1"), pages.where("page_id % 2 = 0"))
+    return assets.new_links(_hrefs(spark, d), table(spark, d, "pages"))
 
 
 @query("select page_id, url, nullif(first_value(page_id) over (partition by url order by page_id), page_id) as duplicate_of from pages")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,24 +38,52 @@ def number_posts(files: DataFrame, undated_first: bool = False) -> DataFrame:
 
 
 def html_folder(spark: SparkSession, path: str) -> DataFrame:
-    """(filename, html, post_id, slug) of exported posts named id.slug.html."""
+    """(filename, html, post_id, slug, number) of exported posts named id.slug.html; number orders ids by value, not by digits."""
     files = _files(spark, path, "*.[hH][tT][mM][lL]", False).withColumnRenamed("text", "html")
+    if files.isEmpty():
+        raise ValueError(f"no HTML files in {path}")
     part = F.split("filename", r"\.", 2)
-    return files.select("filename", "html", F.get(part, F.lit(0)).alias("post_id"), F.regexp_replace(F.get(part, F.lit(1)), r"(?i)\.?html$", "").alias("slug"))
+    return files.select("filename", "html", F.get(part, F.lit(0)).alias("post_id"), F.regexp_replace(F.get(part, F.lit(1)), r"(?i)\.?html$", "").alias("slug"), F.get(part, F.lit(0)).try_cast("long").alias("number"))
 
 
-def export_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A CSV export with all columns as text: quotes doubled, line ends within quotes, missing cells empty."""
+def _by_header(spark: SparkSession, paths: list[str], columns: list[str], *more: Column) -> DataFrame:
+    """Columns of CSV files by the names in each file's own header, in any order and with others among them; missing ones are empty."""
+    options = {"multiLine": True, "quote": '"', "escape": '"'}
+    heads = {}
+    for path in paths:
+        head = spark.read.csv(path, header=False, **options).limit(1).collect()
+        names = [(c or "").removeprefix("\ufeff") for c in head[0]] if head else []
+        heads.setdefault(tuple(names), []).append(path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', enforceSchema=True, mode="PERMISSIVE")
-    return rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns))
+    out = spark.createDataFrame([], schema).select(*columns, *(F.lit("").alias(k) for k in ("post_id",) if more))
+    for names, own in heads.items():
+        place = {name: f"_{k}" for k, name in enumerate(names)}
+        # positions as names, so that repeated header names do no harm
+        kinds = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(names))])
+        if names:
+            rows = spark.read.schema(kinds).csv(own, header=True, enforceSchema=True, mode="PERMISSIVE", **options)
+            cells = (F.coalesce(F.col(place[c]), F.lit("")).alias(c) if c in place else F.lit("").alias(c) for c in columns)
+            out = out.unionByName(rows.select(*cells, *more))
+    return out
+
+
+def _matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The files of a folder or pattern."""
+    return sorted(r[0] for r in spark.read.format("binaryFile").load(pattern).select(F.col("_metadata.file_path")).collect())  # names only
+
+
+def export_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A CSV export with all columns as text, found by header: quotes doubled, line ends within quotes, missing cells empty."""
+    return _by_header(spark, _matching(spark, path), columns).select(*columns)
 
 
 def per_post_csv(spark: SparkSession, pattern: str, columns: list[str]) -> DataFrame:
-    """Many CSV files named post_id.kind.csv as one table with post_id."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = spark.read.schema(schema).csv(pattern, header=True, multiLine=True, quote='"', escape='"')
-    return rows.select(F.regexp_extract("_metadata.file_name", r"^(\d+)\.", 1).alias("post_id"), *(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns))
+    """Many CSV files named post_id.kind.csv as one table with post_id; each file's own header tells its columns.
+
+    Files with the same header are read together; the driver reads each one's first record.
+    """
+    name = F.regexp_extract("_metadata.file_name", r"^(\d+)\.", 1).alias("post_id")
+    return _by_header(spark, _matching(spark, pattern), columns, name).select("post_id", *columns)
 
 
 def optional(spark: SparkSession, path: str, schema: str, read) -> DataFrame:
@@ -70,20 +98,35 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).json(path, mode="FAILFAST")
+
+
 def feed(spark: SparkSession, path: str) -> DataFrame:
     """(url) of a feed's items, read from a file."""
     return spark.read.schema("link string").format("xml").option("rowTag", "item").load(path).select(F.trim("link").alias("url"))
 
 
 def download_list(spark: SparkSession, path: str) -> DataFrame:
-    """(asset_id, url) of a headerless tab-separated list; a bad line or repeated id fails the query."""
-    rows = spark.read.text(path).where(F.trim("value") != "")
-    part = F.split("value", "\t", 2)
-    rows = rows.select(F.trim(F.get(part, F.lit(0))).alias("asset_id"), F.trim(F.get(part, F.lit(1))).alias("url"), "value")
-    good = F.col("asset_id").rlike(r"^[A-Za-z0-9][A-Za-z0-9._-]*$") & F.col("url").rlike(r"(?i)^https?://[^\s]+$")
-    rows = rows.withColumn("url", F.when(F.coalesce(good, F.lit(False)), F.col("url")).otherwise(F.raise_error(F.concat(F.lit("bad download line: "), "value")).cast("string")))
-    n = rows.groupBy("asset_id").agg(F.first("url").alias("url"), F.count("*").alias("n"))
-    return n.select("asset_id", F.when(F.col("n") == 1, F.col("url")).otherwise(F.raise_error(F.concat(F.lit("repeated asset id: "), "asset_id")).cast("string")).alias("url"))
+    """(asset_id, url) of a headerless tab-separated list.
+
+    A bad line (named by its number), a repeated id and an empty list raise ValueError before anything is returned.
+    """
+    rows = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("line"), F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_path").alias("file"))
+    part = F.split("line", "\t", 2)
+    rows = rows.select("line", "at", "file", F.get(part, F.lit(0)).alias("asset_id"), F.get(part, F.lit(1)).alias("url"))
+    filled = rows.where("line <> ''")
+    good = F.col("asset_id").rlike(r"^[A-Za-z0-9._-]+$") & F.col("url").rlike(r"(?i)^https?://[^\s/?#]+\S*$")
+    bad = filled.where(~F.coalesce(good, F.lit(False))).orderBy("at").first()
+    if bad:
+        number = rows.where((F.col("file") == bad["file"]) & (F.col("at") <= bad["at"])).count()
+        raise ValueError(f"bad download line {number}: {bad['line']}")
+    twice = filled.groupBy("asset_id").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"repeated asset id: {twice['asset_id']}")
+    if filled.isEmpty():
+        raise ValueError(f"no downloads in {path}")
+    return filled.select("asset_id", "url")
 
 
 def binaries(spark: SparkSession, path: str, limit: int = 100 << 20) -> DataFrame:

@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 
 def json_rows(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    (df.orderBy(*order) if order else df).write.mode("overwrite").json(path)
+    """JSON lines, sorted if an order is given, with nulls last."""
+    (df.orderBy(*(F.asc_nulls_last(c) for c in order)) if order else df).write.mode("overwrite").json(path)
+
+
+def manifest_set(assets: DataFrame, folder: str) -> None:
+    """The four files of a manifest: JSON, CSV and the two download lists, all of one computation of it."""
+    json_rows(assets, f"{folder}/manifest.json", ["doc_id", "kind", "ordinal"])
+    rows = assets.sparkSession.read.schema(assets.schema).json(f"{folder}/manifest.json")
+    quoted_csv(rows, f"{folder}/manifest.csv")
+    download_lists(rows, f"{folder}/body.tsv", f"{folder}/covers.tsv")
 
 
 def quoted_csv(df: DataFrame, path: str) -> None:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from inkwell.operators import assets, corpus, engagement
@@ -38,7 +39,19 @@ def test_probe_and_fetch(spark):
     got = assets.check_links(rows, lambda u: 404 if u.endswith("a") else 200).collect()
     assert [(r["url"], r["doc_id"], r["status"]) for r in got] == [("http://a", 1, 404)]
     entries = spark.createDataFrame([("1", "http://a")], "asset_id string, url string")
-    assert [(r["status"], r["attempts"]) for r in assets.fetch(entries, lambda u: (503, b"")).collect()] == [("failed", 3)]
+    fetched = lambda get, **more: [(r["status"], r["attempts"], r["content"]) for r in assets.fetch(entries, get, wait=lambda s: None, **more).collect()]
+    assert fetched(lambda u: (503, b"")) == [("failed", 3, None)] and fetched(lambda u: (404, b"")) == [("failed", 1, None)]
+    assert fetched(lambda u: (200, (b"ab", b"cd"))) == [("downloaded", 1, b"abcd")]
+
+    def endless(u):
+        def chunks():
+            yield b"12345"
+            yield b"67890"
+            raise AssertionError("read on beyond the limit")
+
+        return 200, chunks()
+
+    assert fetched(endless, limit=8) == [("failed", 1, None)]
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -50,10 +63,44 @@ def test_sources_and_sinks(spark, tmp_path):
         (tmp_path / "md" / name).write_text(body)
     posts = readers.markdown_folder(spark, str(tmp_path / "md"))
     assert writers.combined_markdown(posts).first()[0] == "# june-2022\n\nj\n\n---\n\n# may-2023\n\nm\n\n---\n\n# zz\n\nz"
+    flat = readers.markdown_folder(spark, str(tmp_path / "md"), recursive=False, leave_out=("zz.md",))
+    assert sorted(r["filename"] for r in flat.collect()) == ["june-2022.md", "may-2023.md"]
+    (tmp_path / "html").mkdir()
+    with pytest.raises(ValueError, match="no HTML"):
+        readers.html_folder(spark, str(tmp_path / "html"))
+    for name in ("10.b.html", "9.a.HTML", "x.txt"):
+        (tmp_path / "html" / name).write_text("<p>")
+    assert [(r["post_id"], r["slug"]) for r in readers.html_folder(spark, str(tmp_path / "html")).orderBy("number").collect()] == [("9", "a"), ("10", "b")]
     (tmp_path / "list.tsv").write_text("a1\thttps://a.b/c\n")
     assert [tuple(r) for r in readers.download_list(spark, str(tmp_path / "list.tsv")).collect()] == [("a1", "https://a.b/c")]
 
 
+def test_csv_columns_go_by_the_header(spark, tmp_path):
+    (tmp_path / "1.x.csv").write_text("b,a\nB1,A1\n")
+    (tmp_path / "2.x.csv").write_text("more,a,b,more\nm,A2,B2,m\n,A3\n")
+    (tmp_path / "3.x.csv").write_text("\ufeffa\nA4\n")
+    (tmp_path / "4.x.csv").write_text("")
+    read = lambda df: sorted(tuple(r) for r in df.collect())
+    assert read(readers.export_csv(spark, str(tmp_path / "1.x.csv"), ["a", "b"])) == [("A1", "B1")]
+    assert read(readers.per_post_csv(spark, str(tmp_path / "*.x.csv"), ["a", "b"])) == [("1", "A1", "B1"), ("2", "A2", "B2"), ("2", "A3", ""), ("3", "A4", "")]
+
+
+@pytest.mark.parametrize(("lines", "message"), [("a\thttps://a.b\n\nb\tftp://x\n", "line 3"), ("a\thttps://a.b\na\thttps://a.c\n", "repeated asset id: a"), ("\n", "no downloads"), ("a https://a.b\n", "line 1")])
+def test_bad_download_lists(spark, tmp_path, lines, message):
+    (tmp_path / "list.tsv").write_text(lines)
+    with pytest.raises(ValueError, match=message):
+        readers.download_list(spark, str(tmp_path / "list.tsv"))
+
+
+def test_optional_and_json(spark, tmp_path):
+    assert readers.optional(spark, str(tmp_path / "none"), "a string", lambda p: None).count() == 0
+    (tmp_path / "x.json").write_text('[{"a": "1"}, {"a": "2"}]')
+    assert readers.optional(spark, str(tmp_path / "x.json"), "a string", lambda p: readers.json_array(spark, p, "a string")).count() == 2
+    (tmp_path / "bin").mkdir()
+    (tmp_path / "bin" / "f").write_bytes(b"abc")
+    assert readers.binaries(spark, str(tmp_path / "bin")).count() == 1 and readers.binaries(spark, str(tmp_path / "bin"), limit=2).count() == 0
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("https://www.a.b/x/\nhttps://a.b/x\nhttps://a.b/y\n")
@@ -65,6 +112,7 @@ def test_stream(spark, tmp_path):
 
 def test_catalogue_imports_without_llm():
     import __spark_entry__ as e
-    from inkwell.plans import catalog
+    from inkwell.plans import archive, catalog, media
 
     assert set(catalog.ORACLES) <= set(catalog.QUERIES) <= set(e.queries())
+    assert archive.cleaned_texts is catalog.QUERIES["cleaned_texts"] and media.url_shapes is catalog.QUERIES["url_shapes"]

@@ -25,6 +25,11 @@ def test_dates(spark):
 def test_numbers(spark):
     assert one(spark, "1.005", text.round_half_up(F.col("v").cast("double"), 100)) == (1.0,)
     assert one(spark, "running", text.syllables(F.col("v"))) == (2,)
+    said = "the Rhythms yes yded yxes agreed tables bcdf éé naïveté queue eyes"
+    each = sum(one(spark, w, text.syllables(F.col("v")))[0] for w in said.split())
+    assert one(spark, said, text.text_syllables(F.col("v"))) == (each,)
+    for x, want in ((1.005, 1.0), (1.015, 1.01), (2.5, 2.5), (0.125, 0.13), (-1.005, -1.0), (8.345, 8.35), (1.255, 1.25)):
+        assert one(spark, str(x), text.to_fixed(F.col("v").cast("double"))) == (want,), x
     assert one(spark, "7", text.padded(F.col("v").cast("int"))) == ("007",)
     assert [list(r) for r in spark.createDataFrame([([],), (["a"],), (["a", "b", "c"],)], "v array<string>").select(F.size(text.bigrams(F.col("v")))).collect()] == [[0], [0], [2]]
 
