@@ -37,7 +37,18 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
+
+
+#: Bytes of a table up to which one shuffle of it costs less than the cores that idle while few tasks read it.
+SMALL = 256 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt over all cores if it is small: a file of one row group is read by one task, whatever the number of cores."""
+    spark = df.sparkSession
+    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL
+    return df.repartition(spark.sparkContext.defaultParallelism) if small else df
 
 
 # SQL pieces
@@ -46,7 +57,7 @@ def _list(names) -> str:
 
 
 def _words(x: str) -> str:
-    return f"list_filter(regexp_split_to_array({x}, '[^A-Za-zА-Яа-я0-9_]+'), lambda x: x <> '')"
+    return f"list_filter(regexp_split_to_array({x}, '{text.BREAKS}'), lambda x: x <> '')"
 
 
 def _strip(x: str) -> str:
