@@ -25,7 +25,7 @@ from .arrays import PLAIN, PROOF, U64, stretch_hashes, utf8  # noqa: E402
 
 DEFAULT = "byte_bpe_50k.json"
 #: Bytes of memory for remembered parts in each Python worker; beyond it only those met again in the latest batch stay.
-REMEMBERED = 32 << 20
+REMEMBERED = 96 << 20
 #: Parts encoded as one text, and texts given to the tokenizer at once.
 TOGETHER, AT_ONCE = 64, 256
 #: The byte-level vocabulary's character for a space.
@@ -67,10 +67,12 @@ class Memory:
         at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
         return np.where((self.key[at] == key) & (self.proof[at] == proof), at, -1)
 
-    def add(self, key: np.ndarray, proof: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+    def add(self, key: np.ndarray, proof: np.ndarray, ids: np.ndarray, size: np.ndarray, place: np.ndarray) -> None:
+        """Remembers parts; place, where other parts stand, is moved along."""
         start = len(self.ids) + np.cumsum(size) - size
         key, own = np.unique(key, return_index=True)
         at = np.searchsorted(self.key, key)
+        place += np.searchsorted(at, place, "right")
         self.key, self.proof = np.insert(self.key, at, key), np.insert(self.proof, at, proof[own])
         self.start, self.size = np.insert(self.start, at, start[own]), np.insert(self.size, at, size[own])
         self.ids = np.concatenate([self.ids, ids])
@@ -158,37 +160,35 @@ class Encoder:
         if usable.any():
             ids = self.learn([p for p, good in zip(said, usable.tolist(), strict=True) if good])
             own = new[usable]
-            self.memory.add(key[own], proof[own], as_ids(b"".join(ids)), np.array([len(b) // 4 for b in ids], np.int32))
-            place = self.memory.find(key, proof)
+            old = place[place >= 0]
+            self.memory.add(key[own], proof[own], as_ids(b"".join(ids)), np.array([len(b) // 4 for b in ids], np.int32), old)
+            place[place >= 0] = old
+            place[own] = self.memory.find(key[own], proof[own])
         known = place >= 0
         start, size = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         start[known], size[known] = self.memory.start[place[known]], self.memory.size[place[known]]
         first, last = bounds[:-1], bounds[1:]
         odd = np.add.reduceat(odd_part[code], first, dtype=np.int64) > 1  # what is before a text's break is empty
         skip = len(self.whole(["\n"])[0]) // 4
-        # where each part's ids go: behind one another, without the break's at a text's start
-        n = size[code]
-        n_text = np.add.reduceat(n, first) - skip
+        # parts' ids stand behind one another, without the break's that opens a text's first part
+        begin, n = start[code], size[code]
+        begin[first + 1] += skip
+        n[first + 1] -= skip
+        n[np.repeat(odd, last - first)] = 0
+        n_text = np.add.reduceat(n, first)
         rest = np.flatnonzero(odd).tolist()
         wholes = [as_ids(b) for b in self.whole(column.take(pa.array(rest, pa.int64())).to_pylist())]
         n_text[rest] = [len(w) for w in wholes]
-        closing = int(end is not None)
-        to = np.concatenate([[0], np.cumsum(n_text + closing)])
+        to = np.concatenate([[0], np.cumsum(n_text + int(end is not None))])
         out = np.empty(int(to[-1]), "<u4")
-        n[np.repeat(odd, last - first)] = 0
-        begins = np.cumsum(n) - n
-        source = ragged(start[code], n)
-        keep = np.ones(len(source), dtype=bool)
-        plain = ~odd
-        if plain.any():
-            heads = begins[first[plain]]  # the empty part has no ids, so a text's ids open with its break's
-            for k in range(skip):
-                keep[heads + k] = False
-            out[ragged(to[:-1][plain], n_text[plain])] = self.memory.ids[source[keep]]
+        fill = np.ones(len(out), dtype=bool)
+        if end is not None:
+            out[to[1:] - 1] = end
+            fill[to[1:] - 1] = False
         for k, ids in zip(rest, wholes, strict=True):
             out[to[k] : to[k] + len(ids)] = ids
-        if closing:
-            out[to[1:] - 1] = end
+            fill[to[k] : to[k] + len(ids)] = False
+        out[fill] = self.memory.ids[ragged(begin, n)]
         return out, to
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:

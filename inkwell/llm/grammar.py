@@ -18,68 +18,79 @@ from .store import parallelism, spread_by_doc
 END = 0
 #: Ids of a shard, at least (a shard holds whole documents).
 SHARD = 1 << 20
+#: Shards up to whose number their starts are broadcast; more are joined by a shuffle.
+BROADCAST = 500_000
 #: Pairs replaced in one pass over a shard at most (others wait for the next), and how often a pair occurs at least.
 PAIRS, LEAST = 8192, 8
 _BITS = 20
+#: Places from which on pairs are counted exactly.
+_FEW = 1 << 15
 SHARDS = "part int, shard int, n_ids long, first_rule int, rule_counts array<int>, rules binary, rule_lengths binary, doc_ids array<bigint>, doc_symbols array<int>, doc_n_ids array<bigint>, symbols binary"
 _SHARDS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_ids", pa.int64()), ("first_rule", pa.int32()), ("rule_counts", pa.list_(pa.int32())), ("rules", pa.binary()), ("rule_lengths", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("doc_symbols", pa.list_(pa.int32())), ("doc_n_ids", pa.list_(pa.int64())), ("symbols", pa.binary())])
 
 
-def _frequent(s: np.ndarray, spans: np.ndarray, least: int, pairs: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first occurrences, places): one pair for each of the most frequent slots of a hashed count, and where a pair of those slots stands.
+def _hashed(s: np.ndarray, places: np.ndarray, least: int, pairs: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(heads, at, live) by a hashed count of the pairs at places: a place for one pair of each of the most frequent slots, where
+    pairs of those slots stand, and where pairs stand whose slot is frequent at all.
 
     The hash changes from turn to turn, so that pairs which shared a slot part.
     """
     left, right = np.uint32(0x9E3779B1 + 2 * turn & 0xFFFFFFFF), np.uint32(0x85EBCA77 + 6 * turn & 0xFFFFFFFF)
-    slot = (((s[:-1] * left) ^ (s[1:] * right)) >> np.uint32(32 - _BITS)).astype(np.int32)
-    slot[spans] = 1 << _BITS
-    count = np.bincount(slot, minlength=(1 << _BITS) + 1)[:-1]
+    slot = (((s[places] * left) ^ (s[places + 1] * right)) >> np.uint32(32 - _BITS)).astype(np.int32)
+    count = np.bincount(slot, minlength=1 << _BITS)
     often = np.flatnonzero(count >= least)
+    kept = (count >= least)[slot]
+    live, slot = places[kept], slot[kept]
     if len(often) > pairs:
         some = count[often]
         often = often[some >= np.partition(some, -pairs)[-pairs]][:pairs]
-    number = np.zeros((1 << _BITS) + 1, dtype=bool)
-    number[often] = True
-    at = np.flatnonzero(number[slot])
-    first = np.empty((1 << _BITS) + 1, dtype=np.int64)
-    first[slot[at[::-1]]] = at[::-1]
-    return first[often], at
-
-
-def _exact(s: np.ndarray, spans: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """As _frequent, by a count of all pairs: the most frequent ones of which none can overlap another."""
-    key = s[:-1].astype(np.uint64) << np.uint64(32) | s[1:]
-    key[spans] = np.iinfo(np.uint64).max
+    chosen = np.zeros(1 << _BITS, dtype=bool)
+    chosen[often] = True
+    own = chosen[slot]
+    at, slot = live[own], slot[own]
+    first = np.empty(1 << _BITS, dtype=np.int64)
+    first[slot[::-1]] = at[::-1]
+    return first[often], at, live
+
+
+def _counted(s: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As _hashed, by an exact count: the heads are the most frequent pairs of which none can overlap another."""
+    key = s[places].astype(np.uint64) << np.uint64(32) | s[places + 1]
     order = np.argsort(key, kind="stable")
     cuts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
     n = np.diff(np.append(cuts, len(key)))
-    good = np.flatnonzero((n >= least) & (key[order[cuts]] != np.iinfo(np.uint64).max))
+    good = np.flatnonzero(n >= least)
     good = good[np.argsort(-n[good], kind="stable")]
+    live = np.sort(places[order[ragged(cuts[good], n[good])]])
+    heads = places[order[cuts[good]]]
     lefts, rights, chosen = set(), set(), []
-    for k, x, y in zip(good.tolist(), s[order[cuts[good]]].tolist(), s[order[cuts[good]] + 1].tolist(), strict=True):
+    for k, x, y in zip(range(len(heads)), s[heads].tolist(), s[heads + 1].tolist(), strict=True):
         if x not in rights and y not in lefts and x != y:
             chosen.append(k)
             lefts.add(x)
             rights.add(y)
-    chosen = np.array(chosen, dtype=np.int64) if chosen else good  # pairs of equal symbols overlap themselves alone
-    return order[cuts[chosen]], np.sort(order[ragged(cuts[chosen], n[chosen])])
+    return heads[chosen] if chosen else heads, live, live  # pairs of equal symbols overlap themselves alone
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | None = None, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """(symbols, ends in symbols, rules of each round) for a run of documents that end before each of ends.
 
-    Each round counts the pairs of neighbours, takes the most frequent, gives each a nonterminal and replaces their
-    occurrences from the left; of overlapping ones every second stays. No pair spans two documents. It ends when an
-    exact count finds no pair least times (apart from overlapping occurrences), or after rounds if they are given.
+    Each round counts pairs of neighbours, takes the most frequent, gives each a nonterminal and replaces their
+    occurrences from the left; of overlapping ones every second stays. No pair spans two documents. A pair that was not
+    frequent can't become so unless it has a new nonterminal, so later rounds count only at places of frequent pairs and
+    next to the last replacements. It ends when an exact count finds no pair least times (apart from overlapping
+    occurrences of pairs of equal symbols), or after rounds if they are given.
     """
-    s, ends, rules, base = ids.astype(np.uint32), ends.astype(np.int64), [], first_rule
+    s, rules, base = ids.astype(np.uint32), [], first_rule
+    last = np.zeros(len(s), dtype=bool)
+    last[ends.astype(np.int64) - 1] = True
+    places = np.flatnonzero(~last)
     exact, turn = False, 0
-    while len(s) > 1 and (rounds is None or turn < rounds):
-        spans = ends[ends < len(s)] - 1
-        heads, at = _exact(s, spans, least) if exact else _frequent(s, spans, least, pairs, turn)
-        key = s[heads].astype(np.uint64) << np.uint64(32) | s[heads + 1]
-        order = np.argsort(key)
-        key = key[order]
+    while len(places) >= least and (rounds is None or turn < rounds):
+        exact = exact or len(places) <= _FEW
+        heads, at, live = _counted(s, places, least) if exact else _hashed(s, places, least, pairs, turn)
+        turn += 1
+        key = np.sort(s[heads].astype(np.uint64) << np.uint64(32) | s[heads + 1])
         own = s[at].astype(np.uint64) << np.uint64(32) | s[at + 1]
         which = np.minimum(np.searchsorted(key, own), max(0, len(key) - 1))
         hit = key[which] == own if len(key) else np.zeros(0, dtype=bool)
@@ -90,13 +101,11 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | N
             run = np.maximum.accumulate(np.where(follows, 0, np.arange(len(at))))
             free = (np.arange(len(at)) - run) % 2 == 0
             at, which = at[free], which[free]
-        uses = np.bincount(which, minlength=len(key))
-        used = np.flatnonzero(uses >= least)
-        turn += 1
+        used = np.flatnonzero(np.bincount(which, minlength=len(key)) >= least)
         if not len(used):
             if exact:
                 break
-            exact = True
+            exact, places = True, live
             continue
         exact = False
         renumber = np.full(len(key), -1, dtype=np.int64)
@@ -104,13 +113,18 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | N
         which = renumber[which]
         at, which = at[which >= 0], which[which >= 0]
         s[at] = (base + which).astype(np.uint32)
-        stays = np.ones(len(s), dtype=bool)
-        stays[at + 1] = False
-        ends = ends - np.searchsorted(at + 1, ends)
-        s = s[stays]
+        last[at] = last[at + 1]
+        gone = np.zeros(len(s), dtype=bool)
+        gone[at + 1] = True
+        near = np.zeros(len(s), dtype=bool)
+        near[live] = near[at] = True
+        near[np.maximum(at - 1, 0)] = True
+        stays = ~gone
+        s, last = s[stays], last[stays]
+        places = np.flatnonzero(near[stays] & ~last)
         rules.append(np.stack([key[used] >> np.uint64(32), key[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         base += len(used)
-    return s, ends, rules
+    return s, np.flatnonzero(last) + 1, rules
 
 
 @cache
@@ -168,7 +182,7 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[p
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _SHARDS.types, strict=True)], schema=_SHARDS)
 
     for batch in batches:
-        for piece in slices(batch):
+        for piece in slices(batch, limit=1 << 21):
             ids, bounds = encoder(path).flat(piece.column("text"), end)
             held.append((piece.column("doc_id"), ids, bounds))
             n_held += len(ids)
@@ -214,6 +228,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     sizes = shards.select("part", "shard", "n_ids").join(first, "part")
     within = F.sum("n_ids").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_ids")
     starts = sizes.select("part", "shard", (F.col("before") + within).alias("first_id"))
+    starts = F.broadcast(starts) if shards.count() <= BROADCAST else starts
     return shards.join(starts, ["part", "shard"]).mapInArrow(_read, "doc_id long, start long, n_tokens long, ids binary")
 
 
