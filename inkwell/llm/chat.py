@@ -9,11 +9,10 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .arrays import releasing
 from .encoding import as_ids, encoder, token_bytes, tokenizer_path
-from .store import parallelism
+from .store import named, parallelism
 
 #: Fixed values of the template: the control strings, each with an id of its own above the vocabulary.
 OPEN, HEAD, CLOSE = "<turn>", "\n", "</turn>\n"
@@ -107,7 +106,7 @@ def format_chats(conversations: DataFrame, path: str | None = None) -> DataFrame
     Turns stand by turn, ties by role and text. A null role or text is empty; rows with a null conv_id form one
     conversation; further columns are ignored. Tasks hold one conversation at a time.
     """
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    rows = conversations.select(named(conversations, "conv_id", "long"), named(conversations, "turn", "long"), named(conversations, "role", "string"), named(conversations, "text", "string"))
     rows = rows.repartition(parallelism(rows.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return rows.mapInArrow(partial(_format, path=path or tokenizer_path()), FORMATTED)
 

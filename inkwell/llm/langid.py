@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .arrays import releasing, slices, sums, utf8
 from .sampling import in_fold
-from .store import spread_by_doc
+from .store import named, spread_by_doc
 
 #: Training documents of each language at most; windows taken from each, evenly over its text, and their bytes.
 SAMPLE, WINDOWS, LEARN = 400, 8, 64
@@ -205,6 +205,6 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     Repeated rows are judged each; further columns are ignored; an empty table gives an empty one.
     """
     out = in_fold(F.col("doc_id"), folds, held_out)
-    p, langs = fit(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")), ~out)
+    p, langs = fit(docs.select(named(docs, "doc_id", "long"), named(docs, "lang", "string"), named(docs, "text", "string")), ~out)
     found = spread_by_doc(docs).mapInArrow(partial(_predict, p=p, langs=langs), "doc_id long, lang_pred string, score double")
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .arrays import U64, mix, releasing, slices, sums, utf8
 from .neardup import groups
 from .sampling import in_fold
-from .store import materialize, parallelism
+from .store import materialize, parallelism, spread_by_doc
 
 ORDER = 5
 #: The share of an occurrence of each distinct symbol that a context sets aside for escapes.
@@ -321,7 +321,7 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out: int = 0) -> DataFram
     """
     spark = docs.sparkSession
     learn = (~in_fold(F.col("doc_id"), folds, held_out)).alias("learn")
-    table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", "text", learn)
+    table = spread_by_doc(docs).select("doc_id", "text", learn)
     ends, size = table.agg(F.coalesce(F.sum(F.col("learn").cast("long")), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     counted = table.mapInArrow(_count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
     vocabulary = materialize(counted, "words")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,7 +34,7 @@ def parallelism(spark: SparkSession) -> int:
 
 def spread_by_doc(docs: DataFrame) -> DataFrame:
     """doc_id and text only, whatever further columns a table has; names match in any case."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(named(docs, "doc_id", "long"), named(docs, "text", "string"))
 
 
 def column_of(docs: DataFrame, name: str) -> str:
@@ -42,6 +42,12 @@ def column_of(docs: DataFrame, name: str) -> str:
     return next((c for c in docs.columns if c == name), None) or next(c for c in docs.columns if c.lower() == name)
 
 
+def named(docs: DataFrame, name: str, kind: str) -> Column:
+    """A column of a kind by its name in any case. It is taken by the name that docs has: an alias that differs from what was
+    asked for only in the table's case is optimised away, and workers would see the table's name."""
+    return F.col(f"`{column_of(docs, name)}`").cast(kind).alias(name)
+
+
 def fresh(docs: DataFrame, name: str) -> str:
     """name, with as many marks behind it as it takes for docs to have no such column."""
     taken = {c.lower() for c in docs.columns}
