@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -72,19 +72,32 @@ def merged(rows: dict[str, tuple[int, float]]) -> dict[str, float]:
     return {t: float(rows[t][1]) for t in chosen}
 
 
+def errors(length: int) -> int:
+    """Edits that a term of some length bears."""
+    return 0 if length < 5 else 1 if length < 9 else 2
+
+
 class Automaton:
-    """The words within most edits of a trie's terms, made deterministic state by state as words are read.
+    """The Levenshtein automata of all terms over their trie, made deterministic state by state as words are read.
 
     A state holds, for each trie node that is near enough, the least distance between the characters read and the
-    node's path. Words that share a beginning, or whose beginnings leave the same nodes, share states.
+    node's path; besides (node, x), a swap of neighbours that x completes, and (node, None), a stem that the word goes on
+    from. Swapped neighbours are one edit, a term's length alone gives its edits, and stems accept words that begin with
+    them. Words that share a beginning, or whose beginnings leave the same nodes, share states.
     """
 
-    def __init__(self, terms: list[str], most: int):
-        self.most = most
+    def __init__(self, terms: list[str]):
         self.below: list[dict[str, int]] = [{}]
         self.ends: dict[int, tuple[str, int]] = {}  # node -> (term, edits that it bears)
+        self.stems: dict[int, tuple[str, int]] = {}
+        room: dict[int, int] = {}  # node -> most edits that a term below it bears
         for term in terms:
-            self.ends[self.path(term)[-1]] = (term, min(most, Lexicon.errors(len(term))))
+            bare = term.removesuffix("*")
+            nodes, bears = self.path(bare), errors(len(bare))
+            (self.ends if bare == term else self.stems)[nodes[-1]] = (term, bears)
+            for node in nodes:
+                room[node] = max(bears, room.get(node, 0))
+        self.room = [room.get(k, 0) for k in range(len(self.below))]
         self.restart()
 
     def path(self, term: str) -> list[int]:
@@ -105,71 +118,6 @@ class Automaton:
         self.best: list[tuple[int, str] | None] = []
         self.state({0: 0})
 
-    def state(self, near: dict[int, int]) -> int:
-        """The number of the state of these nodes and all that skipping term characters reaches from them; -1 for none."""
-        todo = list(near)
-        for node in todo:
-            d = near[node] + 1
-            if d <= self.most:
-                for child in self.below[node].values():
-                    if near.get(child, self.most + 1) > d:
-                        near[child] = d
-                        todo.append(child)
-        if not near:
-            return -1
-        key = frozenset(near.items())
-        if key not in self.number:
-            self.number[key] = len(self.nodes)
-            self.nodes.append(list(near.items()))
-            self.next.append({})
-            self.best.append(min(((d, self.ends[n][0]) for n, d in near.items() if n in self.ends and d <= self.ends[n][1]), default=None))
-        return self.number[key]
-
-    def step(self, at: int, ch: str) -> int:
-        near: dict[int, int] = {}
-        for node, d in self.nodes[at]:
-            if d < self.most:
-                near[node] = min(d + 1, near.get(node, d + 1))
-                for child in self.below[node].values():
-                    near[child] = min(d + 1, near.get(child, d + 1))
-            child = self.below[node].get(ch)
-            if child is not None:
-                near[child] = min(d, near.get(child, d))
-        to = self.next[at][ch] = self.state(near)
-        return to
-
-    def match(self, word: str) -> tuple[int, str] | None:
-        """(distance, term) of the nearest term, the first by name of equally near ones."""
-        if len(self.nodes) > STATES:
-            self.restart()
-        at, steps = 0, self.next
-        for ch in word:
-            to = steps[at].get(ch)
-            at = self.step(at, ch) if to is None else to
-            if at < 0:
-                return None
-        return self.best[at]
-
-
-class Wide(Automaton):
-    """As Automaton, but swapped neighbours are one edit, a term's length alone gives its edits, and stems accept prefixes.
-
-    Besides nodes a state holds (node, x), a swap that x completes, and (node, None), a stem that the word goes on from.
-    """
-
-    def __init__(self, terms: list[str]):
-        self.most, self.below, self.ends = 2, [{}], {}
-        self.stems: dict[int, tuple[str, int]] = {}
-        room: dict[int, int] = {}  # node -> most edits that a term below it bears
-        for term in terms:
-            bare = term.removesuffix("*")
-            nodes, bears = self.path(bare), Lexicon.errors(len(bare))
-            (self.ends if bare == term else self.stems)[nodes[-1]] = (term, bears)
-            for node in nodes:
-                room[node] = max(bears, room.get(node, 0))
-        self.room = [room.get(k, 0) for k in range(len(self.below))]
-        self.restart()
-
     def state(self, near: dict) -> int:
         near = {k: d for k, d in near.items() if d <= self.room[k if isinstance(k, int) else k[0]]}
         todo = [k for k in near if isinstance(k, int)]
@@ -213,47 +161,47 @@ class Wide(Automaton):
         to = self.next[at][ch] = self.state(near)
         return to
 
+    def match(self, word: str) -> tuple[int, str] | None:
+        """(distance, term) of the nearest term, the first by name of equally near ones."""
+        if len(self.nodes) > STATES:
+            self.restart()
+        at, steps = 0, self.next
+        for ch in word:
+            to = steps[at].get(ch)
+            at = self.step(at, ch) if to is None else to
+            if at < 0:
+                return None
+        return self.best[at]
+
 
 class Lexicon:
-    """Terms, met by words through one automaton for each number of edits that a word's length allows."""
+    """Terms and the words that have met them."""
 
     def __init__(self, terms: dict[str, float]):
         self.terms = terms
-        whole = [t for t in terms if not t.endswith("*")]
-        self.stems = {t[:-1]: t for t in terms if t.endswith("*")}
-        self.sizes = sorted({len(s) for s in self.stems})
-        self.near = [Automaton(whole, most) for most in range(3)]
-        self.wide = Wide(list(terms))
+        self.automaton = Automaton(list(terms))
         self.known: dict[str, tuple[str, int] | None] = {}
 
-    @staticmethod
-    def errors(length: int) -> int:
-        return 0 if length < 5 else 1 if length < 9 else 2
-
     def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term (least distance, then by name) and its distance; stems must begin the word unchanged."""
-        best = self.near[self.errors(len(word))].match(word)
-        for n in self.sizes:
-            stem = self.stems.get(word[:n]) if n < len(word) else None
-            if stem and (best is None or (0, stem) < best):
-                best = (0, stem)
+        """The nearest term, the first by name of equally near ones, and its distance."""
+        best = self.automaton.match(word)
         return (best[1], best[0]) if best else None
 
-    def meet(self, word: str) -> tuple[str, int] | None:
-        """As match; a word without one meets the nearest term by the wider rules."""
-        found = self.match(word)
-        best = None if found else self.wide.match(word)
-        return (best[1], best[0]) if best else found
-
     def look(self, words: list[str]) -> list[tuple[str, int] | None]:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
         for w in set(words).difference(known):
-            known[w] = self.meet(w) if len(w) > 2 else None
+            known[w] = self.match(w) if len(w) > 2 else None
         return list(map(known.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def lexicon_of(terms: tuple[tuple[str, float], ...]) -> Lexicon:
+    """One for a worker's tasks in turn, so that states are made once."""
+    return Lexicon(dict(terms))
+
+
 def quotes(text: str, start: int, end: int) -> bool:
     """Whether a hit lies within quotation marks, or close behind a word about speech and one mark."""
     before, after = text[max(0, start - 60) : start], text[end : end + 60]
@@ -286,7 +234,7 @@ def features(text: str, lexicon: Lexicon) -> tuple[float, ...]:
 
 @releasing
 def _features(batches: Iterator[pa.RecordBatch], terms: dict[str, float]) -> Iterator[pa.RecordBatch]:
-    lexicon = Lexicon(terms)
+    lexicon = lexicon_of(tuple(terms.items()))
     for batch in batches:
         for piece in slices(batch):
             rows = [features(t or "", lexicon) for t in piece.column("text").to_pylist()]
