@@ -315,21 +315,15 @@ def test_language_model_base_counts(spark):
         assert got[k]["base_score"] == pytest.approx(sum(np.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words))
 
 
-def test_lexicon_automaton_against_distances():
-    lex = toxicity.Lexicon({"disgusting": 4.0, "loser": 3.0, "lowei*": 2.0})
-    assert lex.match("disgustnig") == ("disgusting", 2) and lex.match("losser") == ("loser", 1)
-    assert lex.match("loweichen") == ("lowei*", 0) and lex.match("lower") in (None, ("loser", 1))
-    assert lex.match("completely") is None
-
-
-def _distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, c in enumerate(a, 1):
-        new = [i]
-        for j, d in enumerate(b, 1):
-            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (c != d)))
-        row = new
-    return row[-1]
+def _edits(a, b):
+    """Insertions, deletions, replacements and swaps of neighbours between a and b."""
+    d = [[i + j if i * j == 0 else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
 
 
 def test_lexicon_finds_the_nearest_of_all_terms():
@@ -342,26 +336,30 @@ def test_lexicon_finds_the_nearest_of_all_terms():
     lex = toxicity.Lexicon(terms)
 
     def near(x):
-        found = [(0, t) for t in terms if t.endswith("*") and x.startswith(t[:-1]) and len(x) >= len(t)]
+        found = []
         for t in terms:
-            if not t.endswith("*") and (d := _distance(x, t)) <= min(lex.errors(len(x)), lex.errors(len(t))):
+            bare = t.rstrip("*")
+            d = _edits(x, t) if bare == t else min(_edits(x[:k], bare) for k in range(len(x)))
+            if d <= toxicity.errors(len(bare)):
                 found.append((d, t))
         return min(found)[::-1] if found else None
 
-    for _ in range(1500):
+    for _ in range(800):
         x = word(3, 13, "abcde") if rng.random() < 0.5 else str(rng.choice(list(terms))).rstrip("*")
         for _ in range(rng.integers(0, 3)):
             k = int(rng.integers(0, len(x)))
-            x = (x[:k] + x[k + 1 :], x[:k] + "x" + x[k:], x[:k] + "a" + x[k + 1 :])[rng.integers(0, 3)] or "a"
+            x = (x[:k] + x[k + 1 :], x[:k] + "x" + x[k:], x[:k] + "a" + x[k + 1 :], x[:k] + x[k : k + 2][::-1] + x[k + 2 :])[rng.integers(0, 4)] or "a"
         assert lex.match(x) == near(x), x
 
 
 def test_misspelt_terms_are_met():
     lex = toxicity.Lexicon({t: 3.0 for t in ("moron", "idiot", "loser", "clown", "trash", "stupid", "disgust*")})
     for word, term in {"mron": "moron", "idot": "idiot", "losr": "loser", "clwn": "clown", "trsh": "trash", "idoit": "idiot", "stuipd": "stupid", "disgsuting": "disgust*", "dsgusted": "disgust*"}.items():
-        assert lex.meet(word) == (term, 1), word
-    assert lex.meet("idiot") == ("idiot", 0) and lex.meet("lantern") is None and lex.meet("disg") is None
+        assert lex.match(word) == (term, 1), word
+    assert lex.match("idiot") == ("idiot", 0) and lex.match("lantern") is None and lex.match("disg") is None
     assert toxicity.features("an id1ot", lex)[2] > 0 and toxicity.features("a l0ser!", lex)[2] > 0
+    plain, quoted = toxicity.features("you are an idiot", lex), toxicity.features('they said "you are an idiot" to me', lex)
+    assert plain[0] > 0 and plain[3] == 0 and quoted[0] == 0 and quoted[3] > 0 and plain[4] == quoted[4]
     assert toxicity.features("stop!idiot", lex)[:3] == toxicity.features("stop idiot", lex)[:3] and not any(toxicity.features("a v1rtue", lex))
 
 
@@ -417,3 +415,38 @@ def test_held_out_languages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = docs.join(langid.identify(docs), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'").groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("share")).collect()
     assert len(rows) > 1 and all(r["share"] >= 0.95 for r in rows), rows
+
+
+def test_toxicity_of_disputed_and_repeated_rows(spark):
+    clean, bad = "a fine day by the sea", "you moron you idiot"
+    rows = [(k, bad if k % 2 else clean) for k in range(40)] + [(40, bad), (40, clean), (None, bad), (41, None)]
+    labels = [(k, k % 2) for k in range(40)] + [(40, 1), (40, 0), (39, 0)]
+    docs = spark.createDataFrame(rows, "Doc_ID long, Text string").withColumn("y", F.lit(1)).withColumn("exact", F.lit(1))
+    got = toxicity.score_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert len(got) == len(rows) and all(r["held_out"] is not None for r in got)
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in got if r["doc_id"] is not None and r["doc_id"] < 40)
+
+
+def test_stages_take_any_columns_and_empty_tables(spark, tmp_path):
+    """The pipeline's stages on odd names, nulls and nothing; a run's rows against plain steps."""
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(80)]
+    rng = np.random.default_rng(21)
+    texts = [" ".join(rng.permutation(words)) for _ in range(6)]
+    item = " ".join(f"bench{k}" for k in range(14))
+    texts += [texts[0], texts[1] + " mail a@b.co", "too short", None, texts[2] + " " + item]
+    spark.createDataFrame(list(enumerate(texts)), "Doc_ID long, Text string").withColumn("d_", F.lit(1)).withColumn("r_", F.lit(2)).withColumn("gone_", F.lit(3)).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).columns == docs.columns, name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # 6 is a copy of 0, 7 a near copy of 1, 8 and 9 are too short, 10 holds a benchmark passage and nearly all of 2
+    assert {r["doc_id"] for r in pieces} == {0, 1, 2, 3, 4, 5}
+    code = encoding.Encoder(encoding.tokenizer_path())
+    for r in pieces:
+        ids = code.whole([texts[r["doc_id"]]])[0] + packing.END.to_bytes(4, "little")
+        assert r["ids_crc32"] == zlib.crc32(ids[4 * r["start"] : 4 * (r["start"] + r["length"])]) and r["doc_tokens"] == len(ids) // 4
