@@ -33,7 +33,7 @@ HEAD_WORDS, SHORT = 150_000, 500_000
 #: Longest context whose counts may be sent.
 DEEP = 3
 #: Bytes of text of a block, and for each part of the trie, about.
-BLOCK, PART = 6 << 20, 6 << 20
+BLOCK, PART = 4 << 20, 6 << 20
 _SLICE = 1 << 24
 #: The symbol that closes a word, the one that ends a text, and what fills contexts before a text.
 _SPACE, _END, _FILL = 32, 10, 9
@@ -293,9 +293,13 @@ def _score_docs(batches: Iterator[pa.RecordBatch], head: Broadcast, scale: float
         gram = np.unique(np.concatenate(found))
         ppm = np.empty(len(gram))
         ppm[np.argsort(part_of(gram, parts, depth), kind="stable")] = np.concatenate([_from_planes(answers[p], np.float32) for p in sorted(answers)])
-        asked = pa.array(gram)
+        key = np.concatenate([key for key, _, _ in held])  # looked up at once: each call hashes all grams anew
+        at = pc.index_in(pa.array(key), value_set=pa.array(gram)).to_numpy()
+        del key
+        begin = 0
         for key, ends, own in held:
-            price = np.add.reduceat(ppm[pc.index_in(pa.array(key), value_set=asked).to_numpy()], ends[:-1])
+            price = np.add.reduceat(ppm[at[begin : begin + len(key)]], ends[:-1])
+            begin += len(key)
             yield pa.RecordBatch.from_arrays([*own, pa.array(price)], names=["row", "doc_id", "learn", "n", "known", "base", "rest", "ppm"])
 
 
