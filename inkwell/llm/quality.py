@@ -11,17 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U64, Words, grams, mix, releasing, slices, stretch_hashes, sums
-from .sampling import labelled_ids, member
+from .sampling import agreed, rows_of
 from .store import column_of, materialize, spread_by_doc
 
 BUCKETS = 1 << 14
-#: Labelled documents of each class that the target model and the threshold are fitted on, at most.
-SAMPLE = 20_000
 #: Scores are compared on this grid: GRID steps from -SPAN to SPAN.
 SPAN, GRID = 8.0, 3200
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
-_COUNTS = pa.schema([("bucket", pa.int32()), ("n_target", pa.int64()), ("n_raw", pa.int64())])
+_COUNTS = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
 _SCORED = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("score", pa.float64())])
 
 
@@ -34,17 +32,14 @@ def _features(words: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @releasing
-def _count(batches: Iterator[pa.RecordBatch], target: np.ndarray) -> Iterator[pa.RecordBatch]:
-    trusted, raw = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for piece in slices(batch):
             words = Words(piece.column("text"))
-            bucket, doc = _features(words, words.hashes())
-            chosen = member(piece.column("doc_id").to_numpy(zero_copy_only=False), target)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            trusted += np.bincount(bucket[chosen[doc]], minlength=BUCKETS)
-    seen = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(trusted[seen]), pa.array(raw[seen])], schema=_COUNTS)
+            n += np.bincount(_features(words, words.hashes())[0], minlength=BUCKETS)
+    seen = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(n[seen])], schema=_COUNTS)
 
 
 def _repeats(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -103,27 +98,28 @@ def _score(batches: Iterator[pa.RecordBatch], ratio: np.ndarray) -> Iterator[pa.
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *(pa.array(out[c]) for c in _SCORED.names[1:])], schema=_SCORED)
 
 
-def fit_ratio(docs: DataFrame, target: np.ndarray) -> np.ndarray:
-    """log P(bucket | trusted) - log P(bucket | raw), smoothed by one; raw counts are those of all documents."""
-    counted = docs.mapInArrow(partial(_count, target=target), "bucket int, n_target long, n_raw long")
-    rows = counted.groupBy("bucket").agg(F.sum("n_target").alias("t"), F.sum("n_raw").alias("r")).toPandas()  # BUCKETS rows at most
-    t, r = np.ones(BUCKETS), np.ones(BUCKETS)
-    t[rows["bucket"]] += rows["t"]
-    r[rows["bucket"]] += rows["r"]
-    return np.log(t / t.sum()) - np.log(r / r.sum()) if len(target) else np.zeros(BUCKETS)
+def _counts(docs: DataFrame) -> np.ndarray:
+    """Occurrences of each bucket in the texts of docs."""
+    rows = docs.mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
+    out = np.zeros(BUCKETS)
+    out[rows["bucket"]] = rows["n"]
+    return out
 
 
-def fit_threshold(scored: DataFrame, good: np.ndarray, bad: np.ndarray) -> float:
-    """The middle of the first run of grid values that best part the labelled sample; errors on trusted documents count four times."""
-    if not len(good) or not len(bad):
-        return -float("inf")
-    marks = scored.sparkSession.createDataFrame([(int(i), k) for k, ids in ((1, good), (0, bad)) for i in ids], "doc_id long, quality int")
+def fit_ratio(docs: DataFrame, marks: DataFrame) -> np.ndarray:
+    """log P(bucket | trusted) - log P(bucket | raw), smoothed by one; trusted are all documents marked 1, raw are all documents."""
+    t, r = _counts(rows_of(docs, marks.where("label = 1").select("doc_id"))), _counts(docs)
+    return np.log((t + 1) / (t + 1).sum()) - np.log((r + 1) / (r + 1).sum()) if t.any() else np.zeros(BUCKETS)
+
+
+def fit_threshold(scored: DataFrame, marks: DataFrame) -> float:
+    """The middle of the first run of grid values that best part all marked documents; errors on trusted documents count four times."""
     cell = F.floor((F.least(F.greatest(F.col("score"), F.lit(-SPAN)), F.lit(SPAN)) + SPAN) * (GRID / (2 * SPAN))).cast("int").alias("cell")
-    rows = scored.where("not base_failed").join(F.broadcast(marks), "doc_id").groupBy(cell, "quality").count().toPandas()  # 2 * GRID rows at most; marks has 2 * SAMPLE
+    rows = scored.where("not base_failed").join(marks, "doc_id").groupBy(cell, "label").count().toPandas()  # 2 * GRID rows at most
     below = np.zeros((2, GRID + 2))
-    np.add.at(below, (rows["quality"], rows["cell"] + 1), rows["count"])
-    total = np.maximum(1, below.sum(axis=1))
-    if not below[0].any():
+    np.add.at(below, (rows["label"], rows["cell"] + 1), rows["count"])
+    total = below.sum(axis=1)
+    if not total.all():
         return -float("inf")
     share = below.cumsum(axis=1) / total[:, None]
     cost = 4 * share[1] + (1 - share[0])
@@ -135,22 +131,22 @@ def fit_threshold(scored: DataFrame, good: np.ndarray, bad: np.ndarray) -> float
 
 def fit_quality(table: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray, float]:
     """The scored table, the log ratios and the threshold."""
-    good, bad = (labelled_ids(labels, "quality", value, SAMPLE) for value in (1, 0))
-    ratio = fit_ratio(table, good)
+    marks = materialize(agreed(labels, "quality"), "marks")
+    ratio = fit_ratio(table, marks)
     kinds = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"
     scored = table.mapInArrow(partial(_score, ratio=ratio), kinds)
     scored = scored.withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
     scored = materialize(scored, "quality")
-    return scored, ratio, fit_threshold(scored, good, bad)
+    return scored, ratio, fit_threshold(scored, marks)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base counts, score, threshold, base_failed and kept for every document.
 
-    The trusted target is a bounded sample of documents with quality 1, the raw corpus all documents. score is the
+    The trusted target is all documents with quality 1, the raw corpus all documents. score is the
     mean log ratio over a document's words and word pairs, 0 without words; kept is not base_failed and score at or
     above the threshold. A null or empty text has counts of 0 and fails the base rule. Without labels of a class
-    only the base rule decides; a document labelled both ways is left out of the samples. Repeated rows are judged each by its own text; further columns are ignored.
+    only the base rule decides; a document labelled both ways trains neither. Repeated rows are judged each by its own text; further columns are ignored.
     """
     scored, _, threshold = fit_quality(spread_by_doc(docs), labels)
     return scored.withColumn("threshold", F.lit(threshold)).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.col("threshold")))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell.llm import chat, decontaminate, encoding, grammar, langid, lm, neardup, packing, pii, quality, queries, toxicity
+from inkwell.llm import chat, decontaminate, encoding, grammar, langid, lm, neardup, packing, pii, quality, queries, sampling, toxicity
 
 LONG = " ".join(f"w{k % 977}" for k in range(30_000))
 ODD = [(1, None), (2, ""), (3, "   \n "), (4, "a b"), (5, LONG), (5, LONG), (6, LONG), (None, "x y z"), (7, "Ünï ###\\ </turn> <|endoftext|>  a@b.co")]
@@ -51,6 +51,29 @@ def test_quality_counts_match_plain_python(spark):
     assert (got["n_words"], got["word_chars"], got["n_symbols"], got["n_dup_lines"], got["n_repeat_words"]) == (15, 16, 2, 2, 15 - 3)
 
 
+@pytest.fixture(scope="module")
+def many_labels(spark, tmp_path_factory):
+    """25,000 documents labelled good, of which few have a text; those that have come last in the order of hashed ids."""
+    ids = spark.range(25_000).select(F.col("id").alias("doc_id"))
+    last = [r["doc_id"] for r in ids.orderBy(F.xxhash64("doc_id").desc(), F.col("doc_id").desc()).limit(40).collect()]
+    rng = np.random.default_rng(22)
+    text = lambda mark: " ".join(rng.permutation([f"{mark}{k}" for k in range(60)]))
+    rows = [(k, text("g")) for k in last] + [(30_000 + k, text("b")) for k in range(20)]
+    folder = tmp_path_factory.mktemp("many")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(folder / "documents.parquet"))
+    bad = spark.range(30_000, 30_020).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"))
+    ids.withColumn("quality", F.lit(1)).unionByName(bad).withColumn("toxic", F.lit(0)).write.parquet(str(folder / "labels.parquet"))
+    return str(folder), set(last)
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_quality_learns_from_all_labelled_documents(spark, monkeypatch, many_labels, shuffled):
+    if shuffled:
+        monkeypatch.setattr(sampling, "BROADCAST", 0)
+    folder, good = many_labels
+    assert {r["doc_id"] for r in queries.op1_quality_rules(spark, folder).where("kept").collect()} == good
+
+
 def test_pii_base_spans_are_the_patterns():
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     good = {"email": lambda m: True, "ip": lambda m: all(int(x) <= 255 for x in m.split(".")), "card": lambda m: 13 <= len(re.sub("[^0-9]", "", m)) <= 19 and pii.luhn(re.sub("[^0-9]", "", m)), "phone": lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15}
