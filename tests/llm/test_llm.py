@@ -74,6 +74,14 @@ def test_quality_learns_from_all_labelled_documents(spark, monkeypatch, many_lab
     assert {r["doc_id"] for r in queries.op1_quality_rules(spark, folder).where("kept").collect()} == good
 
 
+def test_pipeline_keeps_by_all_labelled_documents(spark, many_labels):
+    import corpus_pipeline
+
+    folder, good = many_labels
+    docs = spark.read.parquet(folder + "/documents.parquet")
+    assert {r["doc_id"] for r in corpus_pipeline.STAGES[0][1](spark, docs, folder).collect()} == good
+
+
 def test_pii_base_spans_are_the_patterns():
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     good = {"email": lambda m: True, "ip": lambda m: all(int(x) <= 255 for x in m.split(".")), "card": lambda m: 13 <= len(re.sub("[^0-9]", "", m)) <= 19 and pii.luhn(re.sub("[^0-9]", "", m)), "phone": lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15}
