@@ -21,6 +21,8 @@ BATCH, MISS = 24, 1e-6
 BLOCK, WIDE, SHINGLES = 256, 1024, 1 << 19
 #: Ids that are broadcast to pick out texts; more are joined by a shuffle.
 BROADCAST = 500_000
+#: Links that are joined to components by one union-find; more take star contractions.
+LINKS = 500_000
 #: Parts into which each bucket is split where its members meet its pivot.
 SALT = 8
 _N = BANDS * ROWS
@@ -204,8 +206,30 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             yield _pairs(nodes, forest)
 
 
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of links (a, b) and the least node reachable from each: roots hook onto lesser ones, then all paths are halved to their end."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    parent = np.arange(len(nodes))
+    while len(x):
+        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        x, y = parent[x], parent[y]
+        x, y = x[x != y], y[x != y]
+    return nodes, nodes[parent]
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the least node reachable over undirected edges (a, b), by alternating star contractions."""
+    """(node, label) of each node but the least of its component: the least node reachable over undirected edges (a, b).
+
+    At most LINKS edges come to the driver, 16 bytes each; more go through alternating star contractions.
+    """
+    if edges.count() <= LINKS:
+        rows = edges.select("a", "b").toArrow()
+        node, label = roots(rows["a"].to_numpy(), rows["b"].to_numpy())
+        found = pa.table({"node": node[node != label], "label": label[node != label]})
+        return materialize(edges.sparkSession.createDataFrame(found, "node long, label long"), "labels")
     now = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
     while True:
         # large star: larger neighbours move to the least of the neighbourhood
@@ -239,9 +263,9 @@ def _spread(rows: DataFrame, key: str, counts: DataFrame) -> DataFrame:
     return left.unionByName(right).drop("n_left", "n_right").withColumns({c: F.col(c).cast("long") for c in "ij"})
 
 
-def _checked(cells: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
-    """The exact links (a, b) found in blocks (label, i, j) of rows (node, sub, left)."""
-    rows = cells.join(sets, "node").select("label", "i", "j", "node", "sub", "left", "shingles")
+def _checked(rows: DataFrame, percent: int, parts: int) -> DataFrame:
+    """The exact links (a, b) found in blocks (label, i, j) of rows (node, sub, left, shingles)."""
+    rows = rows.select("label", "i", "j", "node", "sub", "left", "shingles")
     rows = rows.repartition(parts, "label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
     return materialize(rows.mapInArrow(partial(_confirm, percent=percent), "a long, b long"), "links")
 
@@ -251,31 +275,41 @@ def _blocks(n, size, wide: int):
     return F.greatest(F.lit(1), F.ceil(n / wide), F.ceil(size / SHINGLES)).cast("int")
 
 
-def _exact_links(labels: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Links (a, b) whose components are those of all links within the components of likely pairs (node, label, size).
+def _dealt(labels: DataFrame) -> DataFrame:
+    """labels (node, label, size) with the number n of their component's blocks and each node's block i.
+
+    Components of several blocks are few, one for BLOCK nodes or SHINGLES shingles at most, and are broadcast.
+    """
+    wide = labels.groupBy("label").agg(_blocks(F.count("*"), F.sum("size"), BLOCK).alias("n")).where("n > 1")
+    dealt = labels.join(F.broadcast(wide), "label", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    return dealt.withColumn("i", F.pmod(F.xxhash64("node"), F.col("n")).cast("long"))
+
+
+def _exact_links(sets: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Links (a, b) whose components are those of all links within the components of likely pairs, from their sets (node, label, size, n, i, shingles).
 
     First each block of a component by itself, then the heads of what these found between blocks, and at last what is
-    still apart from the component's own head against all others. Small components need the first step only.
+    still apart from the component's own head against all others. Small components need the first step only, and
+    their sets move for it alone.
     """
-    width = labels.groupBy("label").agg(_blocks(F.count("*"), F.sum("size"), BLOCK).alias("n"))
-    rows = materialize(labels.join(width, "label").withColumn("i", F.pmod(F.xxhash64("node"), F.col("n")).cast("long")), "likely")
-    plain = lambda df: df.withColumn("j", F.col("i")).withColumn("sub", F.col("node")).withColumn("left", F.lit(True))
-    links = _checked(plain(rows), sets, percent, parts)
-    wide = rows.where("n > 1").drop("n", "i")
+    links = _checked(sets.withColumns({"j": F.col("i"), "sub": F.col("node"), "left": F.lit(True)}), percent, parts)
+    wide = sets.where("n > 1").select("label", "node", "size")
     if wide.isEmpty():
         return links
+    shingles = sets.where("n > 1").select("node", "shingles")
     for last in (False, True):
         found = components(links).withColumnRenamed("label", "sub")
         now = wide.join(found, "node", "left").withColumn("sub", F.coalesce("sub", "node"))
         if last:
             home = now.where("node = label").select("label", F.col("sub").alias("home"))
-            now = now.join(home, "label").withColumn("left", F.expr("sub <> home")).drop("home")
+            now = now.join(F.broadcast(home), "label").withColumn("left", F.expr("sub <> home")).drop("home")
         else:
             now = now.where("node = sub").withColumn("left", F.lit(True))
         on_left = F.count_if("left"), F.sum(F.when(F.col("left"), F.col("size")).otherwise(0))
-        counts = now.groupBy("label").agg(F.count_if("left").alias("apart"), F.count_distinct("sub").alias("subs"), _blocks(*on_left, BLOCK).alias("n_left"), _blocks(F.count("*"), F.sum("size"), WIDE).alias("n_right"))
-        counts = counts.where("apart > 0 and subs > 1").select("label", "n_left", "n_right")
-        links = materialize(links.unionByName(_checked(_spread(now, "label", counts), sets, percent, parts)), "links")
+        counts = now.groupBy("label").agg(F.count_if("left").alias("apart"), F.min("sub").alias("low"), F.max("sub").alias("high"), _blocks(*on_left, BLOCK).alias("n_left"), _blocks(F.count("*"), F.sum("size"), WIDE).alias("n_right"))
+        counts = counts.where("apart > 0 and low < high").select("label", "n_left", "n_right")
+        cells = _spread(now, "label", F.broadcast(counts))
+        links = materialize(links.unionByName(_checked(cells.join(shingles, "node"), percent, parts)), "links")
     return links
 
 
@@ -299,8 +333,7 @@ def _link(docs: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
     signs = classes.select("node", "signature")
     # each bucket's pivot is its least node; buckets are split where they meet it
     member = classes.select("node", F.explode("bands").alias("band")).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALT)))
-    salted = member.groupBy("band", "salt").agg(F.min("node").alias("pivot"), F.max("node").alias("hi"))
-    pivots = salted.groupBy("band").agg(F.min("pivot").alias("pivot"), F.max("hi").alias("hi")).where("pivot < hi").select("band", "pivot")
+    pivots = member.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("hi")).where("pivot < hi").select("band", "pivot")
     split = lambda t: t.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
     member = materialize(member.join(split(pivots), ["band", "salt"]), "members")
     least = least_matches(percent / 100, miss)
@@ -322,13 +355,14 @@ def _link(docs: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
     # components of likely pairs on full sets; each set is built once
     heads = labels.select("label", F.col("label").alias("node")).distinct()
     labels = materialize(labels.select("label", "node").unionByName(heads).join(classes.select("node", "least", *keys, F.col("n_shingles").alias("size")), "node"), "likely")
+    dealt = _dealt(labels)
     ids = labels.select(F.col("least").alias("doc_id")).distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST else ids
     sets = table.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(partial(_set_rows, n=words), "least long, set_hi long, set_lo long, shingles binary")
-    sets = labels.select("node", "least", *keys).join(sets, ["least", *keys])
-    sets = materialize(sets.select("node", "shingles"), "sets")
+    sets = dealt.join(sets, ["least", *keys])
+    sets = materialize(sets.select("node", "label", "size", "n", "i", "shingles"), "sets")
     sets = materialize(sets.dropDuplicates(["node"]), "sets") if sets.count() > labels.count() else sets  # rows that repeat a doc_id and text
-    labels = components(_exact_links(labels.select("node", "label", "size"), sets, percent, parts))
+    labels = components(_exact_links(sets, percent, parts))
     placed = classes.select(*keys, "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     if shared:
         first = placed.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -154,6 +154,35 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, small):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(_components(texts, 3, 85)))
 
 
+@pytest.mark.parametrize("links", [None, 0])
+def test_components_of_few_and_of_many_links(spark, monkeypatch, links):
+    written = []
+    monkeypatch.setattr(neardup, "materialize", lambda df, name, f=neardup.materialize: written.append(name) or f(df, name))
+    if links is not None:  # star contractions
+        monkeypatch.setattr(neardup, "LINKS", links, raising=False)
+    rng = np.random.default_rng(23)
+    ids = rng.permutation(10_000)[:600].astype(int).tolist()
+    pairs = [*zip(ids[:100], ids[1:101]), *((ids[a], ids[b]) for a, b in rng.integers(101, 600, (300, 2)).tolist()), (ids[0], ids[0])]
+    label = {k: k for pair in pairs for k in pair}
+    for a, b in pairs:
+        old, new = max(label[a], label[b]), min(label[a], label[b])
+        label = {k: new if v == old else v for k, v in label.items()}
+    got = neardup.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert {r["node"]: r["label"] for r in got} == {k: v for k, v in label.items() if k != v}
+    assert links is not None or len(written) <= 1
+    assert neardup.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_of_small_components_move_once(spark, monkeypatch):
+    plans = []
+    said = lambda df, name: plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+    monkeypatch.setattr(neardup, "materialize", lambda df, name, f=neardup.materialize: said(df, name) or f(df, name))
+    texts = _near_texts(np.random.default_rng(4), 12)
+    neardup.link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 85).collect()
+    links = [plan for name, plan in plans if name == "links"]
+    assert len(links) == 1 and "Join" not in links[0]
+
+
 def test_rows_that_share_an_id_are_placed_by_their_texts(spark):
     texts = _near_texts(np.random.default_rng(3), 4)
     one, other, alone = texts[1], texts[3], "nothing of the kind is said anywhere else here"
