@@ -101,6 +101,12 @@ def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(c.astype(np.int64))], names=["gram", "c"])
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in ascending order; for integers np.unique takes many times as long, since it hashes each."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
 def part_of(gram: np.ndarray, parts: int, depth: int) -> np.ndarray:
     """The part of the trie that holds a gram: all whose contexts end in the same depth bytes are in one."""
     tail = ((gram >> 8) & ((1 << 8 * depth) - 1)).astype(U64)
@@ -277,7 +283,9 @@ def _score_docs(batches: Iterator[pa.RecordBatch], head: Broadcast, scale: float
         for piece in _texts(answers.pop(None)):
             words, n = split_words(piece.column("text"))
             key, ends = stream_keys(words, n)
-            found.append(np.unique(key))
+            grams = pa.array(key).dictionary_encode()  # a block's keys together would take much memory
+            del key
+            found.append(grams.dictionary.to_numpy())
             coded = words.dictionary_encode()
             place = pc.index_in(coded.dictionary, value_set=words_)
             known = place.is_valid().to_numpy(zero_copy_only=False)
@@ -288,18 +296,16 @@ def _score_docs(batches: Iterator[pa.RecordBatch], head: Broadcast, scale: float
             rest = ~known[code]
             left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(rest, bounds))]).astype(np.int32)), words.filter(pa.array(rest)))
             own = [pa.array(np.arange(row, row + len(n))), piece.column("doc_id"), piece.column("learn"), pa.array(n.astype(np.int64)), pa.array(of(c_ > 0).astype(np.int64)), pa.array(of(base_).astype(float)), left]
-            held.append((key, ends, own))
+            held.append((grams.indices.to_numpy(), ends, own))
             row += len(n)
-        gram = np.unique(np.concatenate(found))
+        gram = distinct(np.concatenate(found))
         ppm = np.empty(len(gram))
         ppm[np.argsort(part_of(gram, parts, depth), kind="stable")] = np.concatenate([_from_planes(answers[p], np.float32) for p in sorted(answers)])
-        key = np.concatenate([key for key, _, _ in held])  # looked up at once: each call hashes all grams anew
-        at = pc.index_in(pa.array(key), value_set=pa.array(gram)).to_numpy()
-        del key
-        begin = 0
-        for key, ends, own in held:
-            price = np.add.reduceat(ppm[at[begin : begin + len(key)]], ends[:-1])
-            begin += len(key)
+        for asked, (at, ends, own) in zip(found, held, strict=True):
+            order = np.argsort(asked)
+            of_asked = np.empty(len(asked))
+            of_asked[order] = ppm[np.searchsorted(gram, asked[order])]
+            price = np.add.reduceat(of_asked[at], ends[:-1])
             yield pa.RecordBatch.from_arrays([*own, pa.array(price)], names=["row", "doc_id", "learn", "n", "known", "base", "rest", "ppm"])
 
 

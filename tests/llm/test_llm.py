@@ -1,5 +1,6 @@
 import hashlib
 import re
+import timeit
 import zlib
 
 import numpy as np
@@ -359,6 +360,15 @@ def test_language_model_scores_whole_texts(spark, monkeypatch, short):
     assert got[6]["base_score"] == pytest.approx(got[0]["base_score"]) and got[6]["score"] < got[0]["score"] - 1
 
 
+def test_grams_are_told_apart_at_about_the_cost_of_a_sort():
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 1 << 47, 50_000)[rng.integers(0, 50_000, 1_000_000)]
+    for some in (keys, keys[:1], keys[:0]):
+        assert lm.distinct(some).tolist() == sorted(set(some.tolist()))
+    took = lambda f: min(timeit.repeat(lambda: f(keys), number=1, repeat=5))
+    assert took(lm.distinct) < 5 * took(np.sort)
+
+
 def test_language_model_base_counts(spark):
     rng = np.random.default_rng(12)
     texts = [" ".join(rng.choice(["Ab", "ab", "c", "é", "x1", "\tq"], rng.integers(0, 30))) for _ in range(60)] + [None, "", "never seen"]
