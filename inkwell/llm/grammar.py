@@ -29,47 +29,94 @@ SHARDS = "part int, shard int, n_ids long, first_rule int, rule_counts array<int
 _SHARDS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_ids", pa.int64()), ("first_rule", pa.int32()), ("rule_counts", pa.list_(pa.int32())), ("rules", pa.binary()), ("rule_lengths", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("doc_symbols", pa.list_(pa.int32())), ("doc_n_ids", pa.list_(pa.int64())), ("symbols", pa.binary())])
 
 
-def _hashed(s: np.ndarray, places: np.ndarray, least: int, pairs: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(heads, at, live) by a hashed count of the pairs at places: a place for one pair of each of the most frequent slots, where
-    pairs of those slots stand, and where pairs stand whose slot is frequent at all.
+def _hashed(s: np.ndarray, places: np.ndarray, least: int, pairs: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(heads, at, which, live) by a hashed count of the pairs at places: a place for one pair of each of the most frequent slots,
+    where these pairs stand, which of them stands there, and where pairs stand whose slot is frequent at all.
 
     The hash changes from turn to turn, so that pairs which shared a slot part.
     """
     left, right = np.uint32(0x9E3779B1 + 2 * turn & 0xFFFFFFFF), np.uint32(0x85EBCA77 + 6 * turn & 0xFFFFFFFF)
-    slot = (((s[places] * left) ^ (s[places + 1] * right)) >> np.uint32(32 - _BITS)).astype(np.int32)
+    if 4 * len(places) > len(s):  # whole arrays are faster than their parts
+        slot = (((s[:-1] * left) ^ (s[1:] * right)) >> np.uint32(32 - _BITS))[places].astype(np.int64)
+    else:
+        slot = (((s[places] * left) ^ (s[places + 1] * right)) >> np.uint32(32 - _BITS)).astype(np.int64)
     count = np.bincount(slot, minlength=1 << _BITS)
-    often = np.flatnonzero(count >= least)
-    kept = (count >= least)[slot]
+    frequent = count >= least
+    often = np.flatnonzero(frequent)
+    kept = np.flatnonzero(frequent[slot])
     live, slot = places[kept], slot[kept]
     if len(often) > pairs:
         some = count[often]
         often = often[some >= np.partition(some, -pairs)[-pairs]][:pairs]
-    chosen = np.zeros(1 << _BITS, dtype=bool)
-    chosen[often] = True
-    own = chosen[slot]
-    at, slot = live[own], slot[own]
-    first = np.empty(1 << _BITS, dtype=np.int64)
-    first[slot[::-1]] = at[::-1]
-    return first[often], at, live
-
-
-def _counted(s: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As _hashed, by an exact count: the heads are the most frequent pairs of which none can overlap another."""
-    key = s[places].astype(np.uint64) << np.uint64(32) | s[places + 1]
+    number = np.full(1 << _BITS, -1, dtype=np.int32)
+    number[often] = np.arange(len(often))
+    which = number[slot]
+    own = np.flatnonzero(which >= 0)
+    at, which = live[own], which[own]
+    heads = np.empty(len(often), dtype=np.int64)
+    heads[which[::-1]] = at[::-1]
+    hit = s[at] == s[heads][which]
+    hit &= s[at + 1] == s[heads + 1][which]
+    hit = np.flatnonzero(hit)
+    return heads, at[hit], which[hit], live
+
+
+def _counted(s: np.ndarray, places: np.ndarray, after: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As _hashed, by an exact count of the pairs at places and after: the heads are the most frequent pairs of which none can overlap another."""
+    key = s[places].astype(np.uint64) << np.uint64(32) | s[after]
     order = np.argsort(key, kind="stable")
     cuts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
     n = np.diff(np.append(cuts, len(key)))
     good = np.flatnonzero(n >= least)
     good = good[np.argsort(-n[good], kind="stable")]
-    live = np.sort(places[order[ragged(cuts[good], n[good])]])
-    heads = places[order[cuts[good]]]
+    where = order[ragged(cuts[good], n[good])]
+    which = np.repeat(np.arange(len(good)), n[good])
+    first = order[cuts[good]]
     lefts, rights, chosen = set(), set(), []
-    for k, x, y in zip(range(len(heads)), s[heads].tolist(), s[heads + 1].tolist(), strict=True):
+    for k, x, y in zip(range(len(first)), s[places[first]].tolist(), s[after[first]].tolist(), strict=True):
         if x not in rights and y not in lefts and x != y:
             chosen.append(k)
             lefts.add(x)
             rights.add(y)
-    return heads[chosen] if chosen else heads, live, live  # pairs of equal symbols overlap themselves alone
+    up = np.argsort(where)
+    where, which = where[up], which[up]
+    number = np.full(len(good), -1)
+    chosen = chosen or list(range(len(good)))  # pairs of equal symbols overlap themselves alone
+    number[chosen] = np.arange(len(chosen))
+    own = number[which] >= 0
+    return places[first[chosen]], places[where[own]], number[which[own]], places[where]
+
+
+def _apart(at: np.ndarray, which: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of occurrences that overlap every second; after: the place behind each of at."""
+    follows = np.flatnonzero(at[1:] == after[:-1]) + 1
+    if not len(follows):
+        return at, which
+    opens = np.ones(len(follows), dtype=bool)  # what follows the first of a run
+    opens[1:] = follows[1:] != follows[:-1] + 1
+    begin = np.flatnonzero(opens)
+    size = np.diff(np.append(begin, len(follows)))
+    free = np.ones(len(at), dtype=bool)
+    free[follows[(np.arange(len(follows)) - np.repeat(begin, size)) & 1 == 0]] = False
+    free = np.flatnonzero(free)
+    return at[free], which[free]
+
+
+def _used(key: np.ndarray, at: np.ndarray, which: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs, as integers in ascending order, that have least occurrences, and those occurrences."""
+    used = np.flatnonzero(np.bincount(which, minlength=len(key)) >= least)
+    used = used[np.argsort(key[used])]
+    renumber = np.full(len(key), -1, dtype=np.int64)
+    renumber[used] = np.arange(len(used))
+    which = renumber[which]
+    if len(used) == len(key):
+        return key[used], at, which
+    own = np.flatnonzero(which >= 0)
+    return key[used], at[own], which[own]
+
+
+def _rule(key: np.ndarray) -> np.ndarray:
+    return np.stack([key >> np.uint64(32), key & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | None = None, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -79,52 +126,56 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | N
     occurrences from the left; of overlapping ones every second stays. No pair spans two documents. A pair that was not
     frequent can't become so unless it has a new nonterminal, so later rounds count only at places of frequent pairs and
     next to the last replacements. It ends when an exact count finds no pair least times (apart from overlapping
-    occurrences of pairs of equal symbols), or after rounds if they are given.
+    occurrences of pairs of equal symbols), or after rounds if they are given. Once places are few, rounds touch these
+    alone: replaced symbols are skipped by links until the end.
     """
     s, rules, base = ids.astype(np.uint32), [], first_rule
     last = np.zeros(len(s), dtype=bool)
     last[ends.astype(np.int64) - 1] = True
     places = np.flatnonzero(~last)
     exact, turn = False, 0
-    while len(places) >= least and (rounds is None or turn < rounds):
-        exact = exact or len(places) <= _FEW
-        heads, at, live = _counted(s, places, least) if exact else _hashed(s, places, least, pairs, turn)
+    while len(places) > _FEW and (rounds is None or turn < rounds):
+        heads, at, which, live = _counted(s, places, places + 1, least) if exact else _hashed(s, places, least, pairs, turn)
         turn += 1
-        key = np.sort(s[heads].astype(np.uint64) << np.uint64(32) | s[heads + 1])
-        own = s[at].astype(np.uint64) << np.uint64(32) | s[at + 1]
-        which = np.minimum(np.searchsorted(key, own), max(0, len(key) - 1))
-        hit = key[which] == own if len(key) else np.zeros(0, dtype=bool)
-        at, which = at[hit], which[hit]
-        follows = np.zeros(len(at), dtype=bool)
-        follows[1:] = at[1:] == at[:-1] + 1
-        if follows.any():
-            run = np.maximum.accumulate(np.where(follows, 0, np.arange(len(at))))
-            free = (np.arange(len(at)) - run) % 2 == 0
-            at, which = at[free], which[free]
-        used = np.flatnonzero(np.bincount(which, minlength=len(key)) >= least)
-        if not len(used):
-            if exact:
-                break
-            exact, places = True, live
+        at, which = _apart(at, which, at + 1)
+        key, at, which = _used(s[heads].astype(np.uint64) << np.uint64(32) | s[heads + 1], at, which, least)
+        if not len(key):
+            places = places[:0] if exact else live
+            exact = True
             continue
         exact = False
-        renumber = np.full(len(key), -1, dtype=np.int64)
-        renumber[used] = np.arange(len(used))
-        which = renumber[which]
-        at, which = at[which >= 0], which[which >= 0]
         s[at] = (base + which).astype(np.uint32)
         last[at] = last[at + 1]
-        gone = np.zeros(len(s), dtype=bool)
-        gone[at + 1] = True
         near = np.zeros(len(s), dtype=bool)
         near[live] = near[at] = True
         near[np.maximum(at - 1, 0)] = True
-        stays = ~gone
+        stays = np.ones(len(s), dtype=bool)
+        stays[at + 1] = False
+        stays = np.flatnonzero(stays)
         s, last = s[stays], last[stays]
         places = np.flatnonzero(near[stays] & ~last)
-        rules.append(np.stack([key[used] >> np.uint64(32), key[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
-        base += len(used)
-    return s, np.flatnonzero(last) + 1, rules
+        rules.append(_rule(key))
+        base += len(key)
+    after, before = np.arange(1, len(s) + 1), np.arange(-1, len(s))
+    stays = np.ones(len(s), dtype=bool)
+    while len(places) >= least and (rounds is None or turn < rounds):
+        heads, at, which, live = _counted(s, places, after[places], least)
+        turn += 1
+        at, which = _apart(at, which, after[at])
+        key, at, which = _used(s[heads].astype(np.uint64) << np.uint64(32) | s[after[heads]], at, which, least)
+        if not len(key):
+            break
+        s[at] = (base + which).astype(np.uint32)
+        gone = after[at]
+        last[at], stays[gone] = last[gone], False
+        after[at] = after[gone]
+        before[after[gone]] = at
+        near = np.sort(np.concatenate([live, at, np.maximum(before[at], 0)]))
+        near = near[np.concatenate([[True], near[1:] != near[:-1]])]
+        places = near[stays[near] & ~last[near]]
+        rules.append(_rule(key))
+        base += len(key)
+    return s[stays], np.flatnonzero(last[stays]) + 1, rules
 
 
 @cache
@@ -182,7 +233,7 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[p
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _SHARDS.types, strict=True)], schema=_SHARDS)
 
     for batch in batches:
-        for piece in slices(batch, limit=1 << 21):
+        for piece in slices(batch, limit=1 << 22):
             ids, bounds = encoder(path).flat(piece.column("text"), end)
             held.append((piece.column("doc_id"), ids, bounds))
             n_held += len(ids)

@@ -211,6 +211,13 @@ def test_encoding_is_the_tokenizers():
     assert e.encode(texts) == e.whole(texts)
 
 
+def test_parts_are_usable_as_each_alone():
+    rng = np.random.default_rng(33)
+    bits = ["", "\n", "\t", "\x1c", "\x85", "\u2003", "a", "é", "日", ".", "\x00"]
+    parts = ["".join(rng.choice(bits, rng.integers(0, 4))) for _ in range(3000)]
+    assert encoding._usables(encoding.pa.array(parts)).tolist() == [encoding._usable(p) for p in parts]
+
+
 def test_encoder_on_runs_of_white_space_with_a_short_memory():
     rng = np.random.default_rng(8)
     bits = [" ", " ", "\n", "\n", "\t", "\u2003", "a", "be", "é", "22", ".", "!!", "###", "'s", "\x1c", "日本", "\x00"]
@@ -250,6 +257,28 @@ def test_grammar_leaves_no_frequent_pair():
     assert all(n < grammar.LEAST for (x, y), n in pairs.items() if x != y)
 
 
+def test_grammar_rounds_of_few_places_are_cheap():
+    """Documents of one id each have no pairs; the rounds over the last one must not go through all of them again."""
+    rng = np.random.default_rng(31)
+    ids = np.concatenate([rng.integers(0, 1 << 24, 2_000_000), *[rng.integers(0, 1 << 24, 3000)] * 9]).astype(np.uint32)
+    ends = np.append(np.arange(1, 2_000_001), len(ids))
+    symbols, to, rules = grammar.compress(ids, ends, 1 << 24)
+    assert len(rules) > 8 and len(to) == len(ends) and len(symbols) < 2_000_000 + 3 * 9
+    took = lambda rounds: min(timeit.repeat(lambda: grammar.compress(ids, ends, 1 << 24, rounds), number=1, repeat=3))
+    assert took(None) < 2 * took(1)
+
+
+def test_overlapping_occurrences_are_replaced_from_the_left():
+    rng = np.random.default_rng(32)
+    for _ in range(100):
+        at = np.flatnonzero(rng.random(40) < 0.7)
+        want: list[int] = []
+        for x in at.tolist():
+            if not want or want[-1] != x - 1:
+                want.append(x)
+        assert grammar._apart(at, at, at + 1)[0].tolist() == want
+
+
 def test_packed_pieces_hold_all_ids(spark, odd):
     pieces = packing.pack_documents(odd).collect()
     documents: dict[tuple, list] = {}
