@@ -1,7 +1,8 @@
 """Language identification by a bidirectional gated recurrent network over bytes, trained here in numpy.
 
 The network reads whole texts, across words: in windows of READ bytes, each with MARGIN bytes on either side that only
-bring its states up. It labels every byte; a document's probabilities are the means over the bytes of its letters.
+bring up the states of the direction that comes from there. It labels every byte; a document's probabilities are the
+means over the bytes of its letters. Training keeps all states; reading takes them over a byte at a time and keeps labels.
 """
 
 from __future__ import annotations
@@ -130,23 +131,81 @@ def pad(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(bytes_.T), np.ascontiguousarray(real.T)
 
 
+def _halves(p: Params) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each direction the rows of its bytes (gate, byte, HIDDEN), weights (gate, HIDDEN, HIDDEN) and share of the labels, as _step takes them."""
+    out = {}
+    for k, side in enumerate("fb"):
+        table, u = (p[w + side].reshape(3, HIDDEN, -1).transpose(0, 2, 1).copy() for w in "eu")
+        table[:2] *= -1
+        u[:2] *= -1
+        out[side] = table, u, p["v"][:, k * HIDDEN : (k + 1) * HIDDEN].copy()
+    return out
+
+
+def _step(table: np.ndarray, u: np.ndarray, at: np.ndarray, h: np.ndarray, room: np.ndarray) -> None:
+    """Takes the states h (window, HIDDEN) over one byte each, as run_gru does; room is scratch for two arrays a gate."""
+    x, y = room[: 6 * h.size].reshape(2, 3, *h.shape)
+    table.take(at, axis=1, out=x, mode="clip")
+    np.matmul(h, u, out=y)
+    gates, c, yc = x[:2], x[2], y[2]
+    gates += y[:2]
+    np.exp(gates, out=gates)
+    gates += 1  # the inverse of z and r
+    yc /= gates[1]
+    c += yc
+    np.tanh(c, out=c)
+    h -= c
+    h /= gates[0]
+    h += c
+
+
+def _window_sums(p: Params, halves: dict, data: np.ndarray, start: np.ndarray, size: np.ndarray, margins: dict[str, np.ndarray], room: np.ndarray) -> np.ndarray:
+    """Sums of the letter-byte probabilities (window, language) of windows in ascending order of size.
+
+    A direction reads the margin that it comes from, not the other one; windows still read at a byte are the last ones.
+    """
+    steps, n = int(size[-1]), len(size)
+    t = np.arange(steps)
+    read = data[np.minimum(start + t[:, None], len(data) - 1)]
+    first = np.searchsorted(size, t, "right")
+    x = np.zeros((steps, len(p["c"]), n), dtype=p["c"].dtype)
+    for side, (table, u, v) in halves.items():
+        h = np.zeros((n, HIDDEN), dtype=u.dtype)
+        some = np.flatnonzero(margins[side])
+        if len(some):
+            margin, up = margins[side][some], np.zeros((len(some), HIDDEN), dtype=u.dtype)
+            edge = start[some] if side == "f" else start[some] + size[some] - 1
+            for d in range(int(margin.max()), 0, -1):
+                real = margin >= d
+                _step(table, u, data[np.where(real, edge - d if side == "f" else edge + d, 0)], up, room)
+                if not real.all():
+                    up *= real[:, None]
+            h[some] = up
+        for k in t.tolist() if side == "f" else t[::-1].tolist():
+            own = h[first[k] :]
+            _step(table, u, read[k, first[k] :], own, room)
+            x[k, :, first[k] :] += v @ own.T
+    x += p["c"]
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= ((_SPELLS[read] & (t[:, None] < size)) / x.sum(axis=1))[:, None]
+    return x.sum(axis=0).T
+
+
 def text_sums(p: Params, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of each text's letter-byte probabilities, a row a text."""
     n = -(-np.diff(offsets) // READ)
     of = np.repeat(np.arange(len(n)), n)
     start = offsets[:-1][of] + READ * (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n))
     end = np.minimum(start + READ, offsets[1:][of])
-    low, high = np.maximum(start - MARGIN, offsets[:-1][of]), np.minimum(end + MARGIN, offsets[1:][of])
+    before, after = np.minimum(MARGIN, start - offsets[:-1][of]), np.minimum(MARGIN, offsets[1:][of] - end)
     out = np.zeros((len(n), len(p["c"])))
-    order = np.argsort(high - low, kind="stable")
-    for k in range(0, len(order), LANES):
-        own = order[k : k + LANES]
-        t = low[own] + np.arange((high - low)[own].max())[:, None]
-        real = t < high[own]
-        bytes_ = data[np.minimum(t, len(data) - 1)]
-        counts = real & (t >= start[own]) & (t < end[own]) & _SPELLS[bytes_]
-        states = np.concatenate([run_gru(p, s, bytes_, real)[0] for s in "fb"], axis=1)
-        np.add.at(out, of[own], np.einsum("tkn,tn->nk", label(p, states), counts.astype(np.float32)))
+    halves, room = _halves(p), np.empty(6 * HIDDEN * LANES, dtype=p["uf"].dtype)
+    order = np.argsort(end - start, kind="stable")
+    with np.errstate(over="ignore"):  # a closed gate's inverse may be infinite
+        for k in range(0, len(order), LANES):
+            own = order[k : k + LANES]
+            np.add.at(out, of[own], _window_sums(p, halves, data, start[own], (end - start)[own], {"f": before[own], "b": after[own]}, room))
     return out
 
 

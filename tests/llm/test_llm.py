@@ -504,6 +504,36 @@ def test_windows_read_what_the_whole_text_says(monkeypatch):
     assert np.abs(turned[0] - turned[1]).max() > 1e-4
 
 
+def test_windows_are_read_without_keeping_states(monkeypatch):
+    """op5_language: sums are those of the states that training sees, for texts around a window's size; no block of states is kept."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    p = {f"e{s}": rng.normal(0, 0.6, (48, 256)).astype(np.float32) for s in "fb"} | {f"u{s}": rng.normal(0, 0.5, (48, 16)).astype(np.float32) for s in "fb"} | {"v": rng.normal(0, 1, (3, 32)).astype(np.float32), "c": rng.normal(0, 1, (3, 1)).astype(np.float32)}
+    p["ef"][:32, ord("b")], p["eb"][:32, ord("b")] = 100, -100  # open and closed gates
+    read, margin = langid.READ, langid.MARGIN
+    sizes = [0, 1, 2, margin, read - 1, read, read + 1, read + margin, read + margin + 1, 2 * read, 5 * read + 3, 0, 7]
+    texts = ["".join(rng.choice(list("abxyz .,1"), n)) for n in sizes] + ["éñ ß" * 70]
+    want = np.zeros((len(texts), 3))
+    for k, text in enumerate(t.encode() for t in texts):
+        for a in range(0, len(text), read):
+            low, end = max(0, a - margin), min(len(text), a + read)
+            bytes_, real = langid.pad([text[low : end + margin]])
+            prob = langid.label(p, np.concatenate([langid.run_gru(p, s, bytes_, real)[0] for s in "fb"], axis=1))[:, :, 0]
+            want[k] += sum(prob[t - low] for t in range(a, end) if langid._SPELLS[text[t]])
+    for lanes in (1, 3, langid.LANES):
+        monkeypatch.setattr(langid, "LANES", lanes)
+        assert np.allclose(langid.text_sums(p, *langid.utf8(pa.array(texts))), want, atol=1e-3)
+    long = langid.utf8(pa.array(["some words " * (langid.LANES * read // 11)]))
+    tracemalloc.start()
+    langid.text_sums(p, *long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20, peak
+
+
 def test_language_scores_do_not_depend_on_partitions(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     a, b = ({r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(d).collect()} for d in (docs.coalesce(1), docs.repartition(16)))
