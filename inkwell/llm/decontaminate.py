@@ -62,7 +62,8 @@ def _occurrences(table: DataFrame, wanted: DataFrame) -> DataFrame:
     rare = materialize(_rare_first(table, wanted), "prefixes")
     spoken = table.select("doc_id", F.xxhash64("text").alias("row"), words(F.col("text")).alias("w"))
     spoken = spoken.select("doc_id", "row", "w", F.posexplode("w").alias("at", "prefix"))
-    empty = table.sparkSession.createDataFrame([], "doc_id long, row long, item_id long, start int, stop int")
+    # no local rows: these would be a Python RDD, whose daemon and workers stay in every executor
+    empty = table.sparkSession.range(0).selectExpr("id as doc_id", "id as row", "id as item_id", "int(id) as start", "int(id) as stop")
     for block in _blocks(rare, "prefix", F.size("window") * 32 + 64):
         start = F.col("at") - F.col("offset")
         fits = (start >= 0) & (start + F.size("window") <= F.size("w"))

@@ -11,14 +11,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .arrays import releasing, slices
-from .encoding import encoder, ragged, tokenizer_path
+from .arrays import release, releasing, slices
+from .encoding import encoder, tokenizer_path
 from .store import spread_by_doc
 
 WINDOW, END = 2048, 1
 TIERS = (256, 512, 1024, 2048)
 #: Tokens packed together, at least; what a worker holds in memory is about this much.
 BUFFER = 1 << 20
+#: Bytes of text encoded at once.
+SLICE = 1 << 20
 #: Tokens of a step group.
 STEP = 1 << 16
 PIECES = "doc_id long, start long, ids binary, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, window int, step_id long"
@@ -109,7 +111,7 @@ def _rows(doc_ids: pa.Array, ids: np.ndarray, bounds: np.ndarray, sequences: lis
     own = lambda v: np.repeat(v, count)
     size = np.where(totals & (totals - 1) == 0, totals, WINDOW)
     cut = pa.py_buffer(np.concatenate([[0], np.cumsum(4 * length)]).astype(np.int32))
-    pieces = pa.Array.from_buffers(pa.binary(), len(doc), [None, cut, pa.py_buffer(ids[ragged(bounds[doc] + start, length)])])
+    pieces = pa.Array.from_buffers(pa.binary(), len(doc), [None, cut, pa.py_buffer(np.concatenate([ids[a : a + n] for a, n in zip((bounds[doc] + start).tolist(), length.tolist(), strict=True)]))])
     columns = [doc_ids.take(pa.array(doc)), start, pieces, length, np.diff(bounds)[doc], own(first + np.arange(len(count))), offset - own(offset[begins]), own(totals), own(size).astype(np.int32), own(first_step + steps)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_PIECES), 1 + int(steps.max(initial=0))
 
@@ -131,12 +133,16 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa
         return out
 
     for batch in batches:
-        for piece in slices(batch, limit=1 << 21):
+        for piece in slices(batch, limit=SLICE):
             ids, bounds = code.flat(piece.column("text"), end)
-            held.append((piece.column("doc_id"), ids, bounds))
+            # taken, the doc_ids are a copy: a slice would keep its whole batch, texts too
+            held.append((piece.column("doc_id").take(pa.array(np.arange(len(piece)))), ids, bounds))
             n_held += len(ids)
+            del piece, ids, bounds
             if n_held >= BUFFER:
                 yield flush()
+            release()
+        del batch  # else it stays while the next one is read
     if held:
         yield flush()
 

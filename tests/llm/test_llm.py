@@ -2,8 +2,10 @@ import hashlib
 import re
 import timeit
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,6 +229,19 @@ def test_encoder_on_runs_of_white_space_with_a_short_memory():
         assert e.encode(texts) == e.whole(texts)
 
 
+def test_encoder_keeps_parts_that_come_again_in_little_memory(monkeypatch):
+    e = encoding.Encoder(encoding.tokenizer_path(), remembered=90_000)
+    learned = []
+    monkeypatch.setattr(e, "learn", lambda new, learn=e.learn: learned.append(new) or learn(new))
+    often = " ".join(f"often{k}" for k in range(200))
+    for k in range(30):
+        rare = " ".join(f"rare{k}x{i}" for i in range(400))
+        texts = [rare] if k % 3 else [rare, often]
+        assert e.encode(texts) == e.whole(texts)
+        assert e.memory.nbytes() < 150_000
+    assert sum("often7" in new for new in learned) == 1
+
+
 def test_token_files_round_trip(spark, odd, tmp_path):
     grammar.write_ids(odd, str(tmp_path / "ids"))
     rows = sorted(grammar.read_ids(spark, str(tmp_path / "ids")).collect(), key=lambda r: r["start"])
@@ -311,6 +326,28 @@ def test_packed_pieces_hold_all_ids(spark, odd):
     assert max(load) - min(load) <= 2048 and sum(load) == sum(totals)
 
 
+def test_packing_holds_no_batch_that_it_has_read(monkeypatch, tmp_path):
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(packing, "BUFFER", 1 << 40)
+    batch = pa.record_batch({"doc_id": [1, 2], "text": ["word " * 200_000 + "end"] * 2})
+    size, held = batch.nbytes, []
+    with pa.OSFile(str(tmp_path / "in"), "wb") as out, pa.ipc.new_stream(out, batch.schema) as writer:
+        for _ in range(4):
+            writer.write_batch(batch)
+    del batch
+
+    def batches():
+        with pa.OSFile(str(tmp_path / "in")) as source:
+            reader = pa.ipc.open_stream(source)
+            for _ in range(4):
+                held.append(pa.total_allocated_bytes())
+                yield reader.read_next_batch()
+
+    rows = [r for out in packing._pack(batches(), encoding.tokenizer_path(), packing.END) for r in out.to_pylist()]
+    assert sum(r["length"] for r in rows) == 8 * 200_002 and {r["doc_id"] for r in rows} == {1, 2}
+    assert max(held) - held[0] < size / 2
+
+
 def test_packing_covers_without_padding():
     rng = np.random.default_rng(4)
     for _ in range(60):
@@ -579,3 +616,11 @@ def test_stages_take_any_columns_and_empty_tables(spark, tmp_path):
     for r in pieces:
         ids = code.whole([texts[r["doc_id"]]])[0] + packing.END.to_bytes(4, "little")
         assert r["ids_crc32"] == zlib.crc32(ids[4 * r["start"] : 4 * (r["start"] + r["length"])]) and r["doc_tokens"] == len(ids) // 4
+
+
+def test_decontamination_starts_no_python(spark):
+    table = spark.range(1).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"))
+    wanted = decontaminate.windows(table.select(F.col("doc_id").alias("item_id"), "text"), 2)
+    found = decontaminate._occurrences(table, wanted)
+    assert [c for _, c in found.dtypes] == ["bigint", "bigint", "bigint", "int", "int"]
+    assert "ExistingRDD" not in found._jdf.queryExecution().toString() and found.count() == 2
